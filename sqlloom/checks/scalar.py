@@ -18,7 +18,7 @@ RULES = FilterOptions()
 
 
 def documents(spark, sf):
-    return views.table(spark, sf, "documents")
+    return spread(views.table(spark, sf, "documents"), "doc_id")
 
 
 def corpus(spark, sf):
@@ -115,7 +115,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return spread(documents(spark, sf), "doc_id").select(
+    return documents(spark, sf).select(
         "doc_id", sqltext.canonical_sql("text").alias("canonical")
     )
 

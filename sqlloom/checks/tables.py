@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from sqlloom.checks import duck as D
 from sqlloom.checks.registry import check
+from sqlloom.checks.scalar import documents
 from sqlloom.functions.text import sql_key, text_key
 from sqlloom.functions.sqltext import canonical_sql
 from sqlloom.operators import catalog, dedupe, filters, leaks, profiles, ranking
@@ -211,7 +212,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     listed = views.table(spark, sf, "benchmark").select(text_key("text").alias("question_key")).distinct()
-    keyed = views.table(spark, sf, "documents").select("doc_id", text_key("text").alias("question_key"))
+    keyed = documents(spark, sf).select("doc_id", text_key("text").alias("question_key"))
     found = lookup(keyed, listed.withColumn("hit", F.lit(True)), "question_key", "doc_id")
     return found.where(F.col("hit").isNull()).select("doc_id")
 
@@ -242,9 +243,13 @@ FUNNEL_ROWS = (
 )
 
 
+def classified_corpus(spark, sf):
+    return jobs.classify_corpus(views.corpus(spark, sf), views.blocklist(spark, sf))
+
+
 @check("a1_curate_funnel", D.with_(*D.CORPUS_STEPS, select=FUNNEL_ROWS))
 def _(spark, sf):
-    classified = jobs.classify_corpus(views.corpus(spark, sf), views.blocklist(spark, sf))
+    classified = classified_corpus(spark, sf)
     return profiles.curate_funnel(classified, filters.CORPUS_REASONS)
 
 
@@ -298,7 +303,7 @@ def _(spark, sf):
     f"SELECT doc_id, lang, source, text FROM (SELECT *, row_number() OVER (PARTITION BY {D.text_key('text')} ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1",
 )
 def _(spark, sf):
-    keyed = views.table(spark, sf, "documents").withColumn("key", dedupe.dedupe_digest(("text",)))
+    keyed = documents(spark, sf).withColumn("key", dedupe.dedupe_digest(("text",)))
     return dedupe.keep_first(keyed, ["key"], "doc_id").select("doc_id", "lang", "source", "text")
 
 
@@ -334,14 +339,14 @@ CORPUS_SUMMARY = D.with_(
 @check("a6_run_summary", CORPUS_SUMMARY)
 def _(spark, sf):
     source = views.corpus(spark, sf)
-    classified = materialize(jobs.classify_corpus(source, views.blocklist(spark, sf)), "classified")
-    labelled = jobs.sample_and_split(materialize(jobs.deduped_rows(classified), "deduped"))
+    classified = materialize(classified_corpus(spark, sf), "classified")
+    ids = materialize(jobs.deduped_ids(classified), "ids")
     return profiles.run_summary(
         "corpus",
         source.columns,
         profiles.corpus_profile(source),
         profiles.curate_funnel(classified, filters.CORPUS_REASONS),
-        labelled,
+        jobs.sample_and_split(ids, ids),
         OPTIONS.seed,
     )
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F, types as T
 
 from sqlloom.checks import duck as D
 from sqlloom.checks.registry import check
-from sqlloom.checks.scalar import chat_rows
-from sqlloom.checks.tables import CORPUS_SUMMARY, OPTIONS, BENCHMARK
+from sqlloom.checks.scalar import chat_rows, documents
+from sqlloom.checks.tables import BENCHMARK, CORPUS_SUMMARY, OPTIONS, classified_corpus
 from sqlloom.functions import tokens
 from sqlloom.functions.sqltext import canonical_ddl, extract_schema_ddl, target_sql
 from sqlloom.functions.text import normalize_whitespace
@@ -17,7 +17,7 @@ from sqlloom.operators import answers, messages, supervision
 from sqlloom.options import ADVANCED_REASONING, PromptOptions, TokenOptions
 from sqlloom.plans import jobs, views
 from sqlloom.sources import readers, sinks
-from sqlloom.sources.scratch import scratch_path
+from sqlloom.sources.scratch import materialize, scratch_path
 from sqlloom.sources.spread import spread
 
 PROMPT = PromptOptions()
@@ -108,7 +108,7 @@ PREPARED = ", ".join(("example_id", *jobs.PREPARED_COLUMNS))
 
 @check("b5_curated_rows", D.with_(*D.CORPUS_STEPS, select=f"SELECT {CURATED} FROM deduped"))
 def _(spark, sf):
-    return jobs.deduped_rows(jobs.classify_corpus(views.corpus(spark, sf), views.blocklist(spark, sf)))
+    return jobs.deduped_rows(materialize(classified_corpus(spark, sf), "classified"))
 
 
 @check("b5_prepared_rows", D.with_(*D.EXAMPLE_STEPS, select=f"SELECT {PREPARED} FROM prepared"))
@@ -151,7 +151,7 @@ def _(spark, sf):
     f"SELECT doc_id, len(p) AS n_pieces, {csv(D.piece_ids('list_slice(p, 1, 2048)'))} AS ids FROM (SELECT doc_id, {D.pieces('text')} AS p FROM documents)",
 )
 def _(spark, sf):
-    return spread(views.table(spark, sf, "documents"), "doc_id").select(
+    return documents(spark, sf).select(
         "doc_id",
         F.size(tokens.pieces(F.col("text"))).cast("bigint").alias("n_pieces"),
         F.array_join(tokens.hashed(F.col("text"), 2048), ",").alias("ids"),
@@ -204,7 +204,7 @@ def _(spark, sf):
 
 @check("k5_batch_plan", D.with_(*BATCH_STEPS, select="SELECT example_id, n_tokens AS length, length_bucket, batch_no, pad_to FROM batches"))
 def _(spark, sf):
-    rows = jobs.supervised_rows(chat_rows(spark, sf), BATCHES)
+    rows = supervision.with_room(jobs.tokenized_rows(chat_rows(spark, sf), BATCHES))
     planned = supervision.plan_batches(rows, "example_id", OPTIONS.seed, BATCHES)
     return planned.select(
         "example_id", *(F.col(c).cast("bigint").alias(c) for c in ("length", "length_bucket", "batch_no", "pad_to"))

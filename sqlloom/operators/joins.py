@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sqlloom.options import JoinOptions
+from sqlloom.sources.scratch import materialize
 
 _SALT = "__salt"
 
@@ -36,11 +37,13 @@ def lookup(
 ) -> DataFrame:
     """Left join on ``key``, which must be unique in ``table``.
 
-    A table measured to be small is broadcast and the probe side stays where it is. A larger one
+    Unless the caller knows its size, the table is written once, then measured and joined from
+    the files. A table measured to be small is broadcast and the probe side stays where it is. A larger one
     is copied once per salt and the probe rows of one key are spread over the salts by the hash
     of ``spread_by``, so a key holding a third of the rows is still shared by many tasks.
     """
     if small is None:
+        table = materialize(table, "lookup")
         small = fits_broadcast(table, options)
     if small:
         return probe.join(F.broadcast(table), key, "left")

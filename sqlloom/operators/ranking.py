@@ -54,24 +54,34 @@ def keys_at_ranks(keys: DataFrame, ranks: dict[str, Column]) -> DataFrame:
     return found.agg(*(F.max(F.when(F.col("name") == n, F.col("key"))).alias(n) for n in ranks))
 
 
-def sample(df: DataFrame, ordinal: str, size: int | None, seed: int) -> DataFrame:
-    """Exactly min(size, rows) rows without replacement; no size means all of them."""
+def sample(
+    df: DataFrame, ordinal: str, size: int | None, seed: int, ids: DataFrame | None = None
+) -> DataFrame:
+    """Exactly min(size, rows) rows without replacement; no size means all of them.
+
+    ``ids``, when given, has the ids of ``df`` in a form that is cheaper to read.
+    """
     if not size:
         return df
     key = order_key(ordinal, seed, "sample")
-    edge = keys_at_ranks(df.select(key.alias("key")), {"edge": F.lit(int(size))}).scalar()
+    keys = (df if ids is None else ids).select(key.alias("key"))
+    edge = keys_at_ranks(keys, {"edge": F.lit(int(size))}).scalar()
     return df.where(F.coalesce(key < edge, F.lit(True)))
 
 
-def split(df: DataFrame, ordinal: str, ratios: SplitRatios, seed: int) -> DataFrame:
-    """Adds ``split``: the first int(n*train) rows, the next int(n*val), and all the rest as test."""
+def split(
+    df: DataFrame, ordinal: str, ratios: SplitRatios, seed: int, ids: DataFrame | None = None
+) -> DataFrame:
+    """Adds ``split``: the first int(n*train) rows, the next int(n*val), and all the rest as test.
+
+    ``ids`` as in ``sample``.
+    """
     key = order_key(ordinal, seed, "split")
     total = F.col("total").cast("double")
     train_end = F.floor(total * F.lit(float(ratios.train)))
     val_end = train_end + F.floor(total * F.lit(float(ratios.val)))
-    edges = keys_at_ranks(
-        df.select(key.alias("key")), {"train_end": train_end, "val_end": val_end}
-    )
+    keys = (df if ids is None else ids).select(key.alias("key"))
+    edges = keys_at_ranks(keys, {"train_end": train_end, "val_end": val_end})
     below_train = F.coalesce(key < edges.select("train_end").scalar(), F.lit(True))
     below_val = F.coalesce(key < edges.select("val_end").scalar(), F.lit(True))
     label = F.when(below_train, F.lit("train")).when(below_val, F.lit("val")).otherwise(F.lit("test"))

@@ -124,10 +124,18 @@ def classify_corpus(
 
 
 def deduped_rows(classified: DataFrame) -> DataFrame:
+    """``classified`` should be a written table: in one plan with the rules, the filter would sink
+    below them and evaluate them again."""
     kept = classified.where(F.col("drop_reason").isNull())
     return keep_first(kept, ["dedupe_key"], ORDINAL).select(ORDINAL, *CURATED_COLUMNS)
 
 
+def deduped_ids(classified: DataFrame) -> DataFrame:
+    """Ids of deduped_rows from two narrow columns, by hash aggregation."""
+    kept = classified.where(F.col("drop_reason").isNull())
+    return kept.groupBy("dedupe_key").agg(F.min(ORDINAL).alias(ORDINAL)).select(ORDINAL)
+
+
 def with_messages(rows: DataFrame, options: CurateOptions = CurateOptions()) -> DataFrame:
     """Messages repeat other columns, so they are added last and never shuffled."""
     explanation = F.col("sql_explanation") if "sql_explanation" in rows.columns else None
@@ -139,18 +147,24 @@ def with_messages(rows: DataFrame, options: CurateOptions = CurateOptions()) ->
     )
 
 
-def sample_and_split(rows: DataFrame, options: CurateOptions = CurateOptions()) -> DataFrame:
-    """``rows`` should be a written table: its ids are read again for the ranks."""
-    sampled = ranking.sample(rows, ORDINAL, options.sample_size, options.seed)
-    return ranking.split(sampled, ORDINAL, options.ratios, options.seed)
+def sample_and_split(
+    rows: DataFrame, ids: DataFrame, options: CurateOptions = CurateOptions()
+) -> DataFrame:
+    """Ranks come from ``ids``, a written table with the ids of ``rows``, so the rows themselves
+    are only passed through."""
+    edges = ids.select(ORDINAL)
+    sampled = ranking.sample(rows, ORDINAL, options.sample_size, options.seed, edges)
+    sampled_ids = ranking.sample(edges, ORDINAL, options.sample_size, options.seed)
+    return ranking.split(sampled, ORDINAL, options.ratios, options.seed, sampled_ids)
 
 
 def curated_rows(
     source: DataFrame, blocklist: DataFrame | None = None, options: CurateOptions = CurateOptions()
 ) -> DataFrame:
-    """Curated corpus with split and messages; the deduplicated rows are written once on the way."""
-    kept = materialize(deduped_rows(classify_corpus(source, blocklist, options)), "deduped")
-    return with_messages(sample_and_split(kept, options), options)
+    """Curated corpus with split and messages."""
+    classified = materialize(classify_corpus(source, blocklist, options), "classified")
+    ids = materialize(deduped_ids(classified), "ids")
+    return with_messages(sample_and_split(deduped_rows(classified), ids, options), options)
 
 
 def run_curate(
@@ -162,15 +176,15 @@ def run_curate(
 ) -> DataFrame:
     """Curate ``source`` into ``out``: splits as JSON lines, and summary. Gives the summary."""
     classified = materialize(classify_corpus(source, blocklist, options), "classified")
-    kept = materialize(deduped_rows(classified), "deduped")
-    labelled = sample_and_split(kept, options)
+    ids = materialize(deduped_ids(classified), "ids")
+    labelled = sample_and_split(deduped_rows(classified), ids, options)
     write_splits(with_messages(labelled, options), f"{out}/all_cleaned")
     summary = profiles.run_summary(
         dataset,
         source.columns,
         profiles.corpus_profile(source),
         profiles.curate_funnel(classified, filters.CORPUS_REASONS),
-        labelled,
+        sample_and_split(ids, ids, options),
         options.seed,
     )
     write_summary(summary, f"{out}/summary")
@@ -215,8 +229,9 @@ def prepared_rows(classified: DataFrame) -> DataFrame:
 def prepared_splits(
     examples: DataFrame, catalog: DataFrame, options: CurateOptions = CurateOptions()
 ) -> DataFrame:
-    kept = materialize(prepared_rows(classify_examples(examples, catalog, options)), "prepared")
-    return with_messages(sample_and_split(kept, options), options)
+    classified = materialize(classify_examples(examples, catalog, options), "classified")
+    kept = prepared_rows(classified)
+    return with_messages(sample_and_split(kept, kept, options), options)
 
 
 def run_prepare(
@@ -228,7 +243,8 @@ def run_prepare(
 ) -> DataFrame:
     """Prepare a benchmark source into ``out``. Gives the summary."""
     classified = materialize(classify_examples(examples, catalog, options), "classified")
-    labelled = sample_and_split(prepared_rows(classified), options)
+    kept = prepared_rows(classified)
+    labelled = sample_and_split(kept, kept, options)
     write_splits(with_messages(labelled, options), f"{out}/all_cleaned")
     summary = profiles.run_summary(
         dataset,
@@ -242,14 +258,32 @@ def run_prepare(
     return summary
 
 
+def tokenized_rows(
+    rows: DataFrame,
+    options: TokenOptions = TokenOptions(),
+    encoder: tokens.Encoder | None = None,
+) -> DataFrame:
+    """Written table (example_id, full_ids, prompt_len) of rows with messages.
+
+    It is written because rows are dropped by it: in one plan that filter would sink below the
+    tokenizer and run it again. Masks and labels follow from it and are not stored.
+    """
+    chat = rows.select(ORDINAL, "messages")
+    if encoder is not None:
+        # Spark cannot plan one Python function over array expressions over another one, which
+        # is what an encoder on top of the validity check would be.
+        chat = materialize(chat, "messages")
+    tokenized = supervision.tokenize(chat, "messages", options, encoder).drop("messages")
+    return materialize(tokenized, "tokens")
+
+
 def supervised_rows(
     rows: DataFrame,
     options: TokenOptions = TokenOptions(),
     encoder: tokens.Encoder | None = None,
 ) -> DataFrame:
-    """(example_id, input_ids, attention_mask, labels) of rows with messages, skipped ones left out."""
-    tokenized = supervision.tokenize(rows.select(ORDINAL, "messages"), "messages", options, encoder)
-    masked = supervision.mask_labels(tokenized).drop("messages")
+    """(example_id, input_ids, attention_mask, labels), rows without room for an answer left out."""
+    masked = supervision.mask_labels(tokenized_rows(rows, options, encoder))
     return supervision.drop_skipped(masked)
 
 
@@ -259,11 +293,15 @@ def padded_batches(
     options: TokenOptions = TokenOptions(),
     encoder: tokens.Encoder | None = None,
 ) -> DataFrame:
-    """Supervision table in length-grouped, right-padded batches. The token table is written
-    once: planning reads its ids and sizes, padding its arrays."""
-    written = materialize(supervised_rows(rows, options, encoder), "tokens")
-    batches = supervision.plan_batches(written, ORDINAL, seed, options)
-    return supervision.pad(written, batches, ORDINAL, options)
+    """Supervision table in length-grouped, right-padded batches.
+
+    Planning reads ids and sizes only. The token arrays move once, in the join on the unique id;
+    masks, labels and padding are built after it.
+    """
+    tokenized = supervision.with_room(tokenized_rows(rows, options, encoder))
+    batches = supervision.plan_batches(tokenized, ORDINAL, seed, options)
+    masked = supervision.mask_labels(tokenized.join(batches, ORDINAL)).drop("skip_example")
+    return supervision.pad(masked, options)
 
 
 def run_supervision(
