@@ -301,7 +301,7 @@ batches AS (SELECT *, max(n_tokens) OVER (PARTITION BY length_bucket, batch_no)
 
 
 def padded(values: str, filler: int) -> str:
-    return f"array_to_string({values} || list_transform(range(pad_to - n_tokens), lambda x: {filler}), ',')"
+    return f"CAST({values} || list_transform(range(pad_to - n_tokens), lambda x: {filler}) AS VARCHAR)"
 
 
 LABELS = "(list_transform(range(prompt_len), lambda x: -100) || list_slice(full_ids, prompt_len + 1, n_tokens))"

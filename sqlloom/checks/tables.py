@@ -351,6 +351,22 @@ def _(spark, sf):
     )
 
 
+@check(
+    "a6_prepare_summary",
+    D.with_(
+        *D.EXAMPLE_STEPS,
+        EXAMPLES_PROFILE,
+        D.split_step("prepared", BENCHMARK),
+        select=summary_select("benchmark", ("example_id", *EXAMPLE_COLUMNS), PREPARE_ROWS),
+    ),
+)
+def _(spark, sf):
+    out = scratch_path(spark, "prepared")
+    return jobs.run_prepare(
+        spread(views.examples(spark, sf), "example_id"), views.raw_catalog(spark, sf), out, BENCHMARK
+    )
+
+
 SAMPLE = 5000
 
 

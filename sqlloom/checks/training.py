@@ -132,43 +132,43 @@ def _(spark, sf):
     return rows.select("example_id", messages.render_chat(asked, True).alias("prompt"))
 
 
-def joined(name: str):
-    return F.array_join(name, ",").alias(name)
+def as_string(name: str):
+    return F.col(name).cast("string").alias(name)
 
 
-def csv(values: str) -> str:
-    return f"coalesce(array_to_string({values}, ','), '')"
+def as_text(values: str) -> str:
+    return f"CAST({values} AS VARCHAR)"
 
 
-@check("k1_tokens", D.with_(*ROW_STEPS, D.supervision_steps(TOKENS), select=f"SELECT example_id, {csv('full_ids')} AS full_ids, prompt_len FROM sup"))
+@check("k1_tokens", D.with_(*ROW_STEPS, D.supervision_steps(TOKENS), select=f"SELECT example_id, {as_text('full_ids')} AS full_ids, prompt_len FROM sup"))
 def _(spark, sf):
     rows = supervision.tokenize(chat_rows(spark, sf), "messages", TOKENS)
-    return rows.select("example_id", joined("full_ids"), F.col("prompt_len").cast("bigint").alias("prompt_len"))
+    return rows.select("example_id", as_string("full_ids"), F.col("prompt_len").cast("bigint").alias("prompt_len"))
 
 
 @check(
     "k1_documents",
-    f"SELECT doc_id, len(p) AS n_pieces, {csv(D.piece_ids('list_slice(p, 1, 2048)'))} AS ids FROM (SELECT doc_id, {D.pieces('text')} AS p FROM documents)",
+    f"SELECT doc_id, len(p) AS n_pieces, {as_text(D.piece_ids('list_slice(p, 1, 2048)'))} AS ids FROM (SELECT doc_id, {D.pieces('text')} AS p FROM documents)",
 )
 def _(spark, sf):
     return documents(spark, sf).select(
         "doc_id",
         F.size(tokens.pieces(F.col("text"))).cast("bigint").alias("n_pieces"),
-        F.array_join(tokens.hashed(F.col("text"), 2048), ",").alias("ids"),
+        tokens.hashed(F.col("text"), 2048).cast("string").alias("ids"),
     )
 
 
 LABEL_ROWS = (
-    f"SELECT example_id, CASE WHEN skip_example THEN '' ELSE {csv('full_ids')} END AS input_ids,"
-    f" CASE WHEN skip_example THEN '' ELSE {csv(D.ONES)} END AS attention_mask,"
-    f" CASE WHEN skip_example THEN '' ELSE {csv(D.LABELS)} END AS labels, skip_example FROM sup"
+    f"SELECT example_id, CASE WHEN skip_example THEN '[]' ELSE {as_text('full_ids')} END AS input_ids,"
+    f" CASE WHEN skip_example THEN '[]' ELSE {as_text(D.ONES)} END AS attention_mask,"
+    f" CASE WHEN skip_example THEN '[]' ELSE {as_text(D.LABELS)} END AS labels, skip_example FROM sup"
 )
 
 
 @check("k2_label_mask", D.with_(*ROW_STEPS, D.supervision_steps(BATCHES), select=LABEL_ROWS))
 def _(spark, sf):
     rows = supervision.mask_labels(supervision.tokenize(chat_rows(spark, sf), "messages", BATCHES))
-    return rows.select("example_id", joined("input_ids"), joined("attention_mask"), joined("labels"), "skip_example")
+    return rows.select("example_id", as_string("input_ids"), as_string("attention_mask"), as_string("labels"), "skip_example")
 
 
 @check("k3_token_counts", D.with_(*ROW_STEPS, D.supervision_steps(BATCHES), select="SELECT count(*) AS rows_after, CAST(sum(n_tokens) AS BIGINT) AS tokens_after FROM kept"))
@@ -185,21 +185,30 @@ BATCH_ROWS = (
 )
 
 
+def corpus_batches(spark, sf):
+    return jobs.padded_batches(chat_rows(spark, sf), OPTIONS.seed, BATCHES)
+
+
+def curated_batches(spark, sf):
+    curated = jobs.curated_rows(views.corpus(spark, sf), views.blocklist(spark, sf))
+    return jobs.padded_batches(curated.where(F.col("split") == "train"), OPTIONS.seed, BATCHES)
+
+
 def batch_output(df):
     return df.select(
         "example_id",
         F.col("length_bucket").cast("bigint").alias("length_bucket"),
         F.col("batch_no").cast("bigint").alias("batch_no"),
         F.col("pad_to").cast("bigint").alias("pad_to"),
-        joined("input_ids"),
-        joined("attention_mask"),
-        joined("labels"),
+        as_string("input_ids"),
+        as_string("attention_mask"),
+        as_string("labels"),
     )
 
 
 @check("k4_padded_batches", D.with_(*BATCH_STEPS, select=BATCH_ROWS))
 def _(spark, sf):
-    return batch_output(jobs.padded_batches(chat_rows(spark, sf), OPTIONS.seed, BATCHES))
+    return batch_output(corpus_batches(spark, sf))
 
 
 @check("k5_batch_plan", D.with_(*BATCH_STEPS, select="SELECT example_id, n_tokens AS length, length_bucket, batch_no, pad_to FROM batches"))
@@ -310,6 +319,4 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    curated = jobs.curated_rows(views.corpus(spark, sf), views.blocklist(spark, sf))
-    train = curated.where(F.col("split") == "train")
-    return batch_output(jobs.padded_batches(train, OPTIONS.seed, BATCHES))
+    return batch_output(curated_batches(spark, sf))

@@ -14,8 +14,10 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     """Rows and bytes, counted where the data is."""
     width = F.lit(0).cast("bigint")
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.octet_length(F.to_json(F.struct(f.name)))
         else:
             width = width + F.lit(8)
     row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()

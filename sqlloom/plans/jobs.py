@@ -25,6 +25,7 @@ from sqlloom.operators.leaks import flag_leaks
 from sqlloom.operators.messages import training_messages
 from sqlloom.options import CurateOptions, TokenOptions
 from sqlloom.sources.contracts import require_columns
+from sqlloom.sources.readers import read_json_lines
 from sqlloom.sources.scratch import materialize
 from sqlloom.sources.spread import spread
 from sqlloom.sources.sinks import write_splits, write_summary
@@ -174,7 +175,8 @@ def run_curate(
     options: CurateOptions = CurateOptions(),
     dataset: str = "corpus",
 ) -> DataFrame:
-    """Curate ``source`` into ``out``: splits as JSON lines, and summary. Gives the summary."""
+    """Curate ``source`` into ``out``: splits as JSON lines, and summary. Gives the summary as
+    written."""
     classified = materialize(classify_corpus(source, blocklist, options), "classified")
     ids = materialize(deduped_ids(classified), "ids")
     labelled = sample_and_split(deduped_rows(classified), ids, options)
@@ -188,14 +190,14 @@ def run_curate(
         options.seed,
     )
     write_summary(summary, f"{out}/summary")
-    return summary
+    return read_json_lines(summary.sparkSession, f"{out}/summary", summary.schema)
 
 
 def classify_examples(
     examples: DataFrame, catalog: DataFrame, options: CurateOptions = CurateOptions()
 ) -> DataFrame:
     """Every example with drop_reason, sql_valid and its prepared columns. Duplicates and
-    invalid SQL stay in."""
+    invalid SQL stay in, and this source is never sampled."""
     texts = spread(examples, ORDINAL).select(
         ORDINAL,
         text_or_empty("db_id").alias("db_id"),
@@ -231,7 +233,8 @@ def prepared_splits(
 ) -> DataFrame:
     classified = materialize(classify_examples(examples, catalog, options), "classified")
     kept = prepared_rows(classified)
-    return with_messages(sample_and_split(kept, kept, options), options)
+    labelled = ranking.split(kept, ORDINAL, options.ratios, options.seed)
+    return with_messages(labelled, options)
 
 
 def run_prepare(
@@ -241,10 +244,10 @@ def run_prepare(
     options: CurateOptions = CurateOptions(),
     dataset: str = "benchmark",
 ) -> DataFrame:
-    """Prepare a benchmark source into ``out``. Gives the summary."""
+    """Prepare a benchmark source into ``out``. Gives the summary as written."""
     classified = materialize(classify_examples(examples, catalog, options), "classified")
     kept = prepared_rows(classified)
-    labelled = sample_and_split(kept, kept, options)
+    labelled = ranking.split(kept, ORDINAL, options.ratios, options.seed)
     write_splits(with_messages(labelled, options), f"{out}/all_cleaned")
     summary = profiles.run_summary(
         dataset,
@@ -255,7 +258,7 @@ def run_prepare(
         options.seed,
     )
     write_summary(summary, f"{out}/summary")
-    return summary
+    return read_json_lines(summary.sparkSession, f"{out}/summary", summary.schema)
 
 
 def tokenized_rows(

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_written: list[str] = []
+_private_roots: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints. A private folder is made only where none
@@ -18,9 +21,9 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="sqlloom-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    if not _private_roots:
+        _private_roots.append(tempfile.mkdtemp(prefix="sqlloom-"))
+    return _private_roots[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -33,4 +36,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_scratch(spark: SparkSession) -> int:
+    """Delete the tables this process has written here, once nothing reads them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 SPLITS = ("train", "val", "test")
 
 
+def _json_writer(df: DataFrame) -> DataFrameWriter:
+    return (
+        df.write.mode("errorifexists")
+        .option("ignoreNullFields", False)
+        .option("writeNonAsciiCharacterAsCodePoint", True)
+    )
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
-    """One object per line; null keys are kept."""
-    df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    """One object per line; null keys are kept, characters outside ASCII are escaped."""
+    _json_writer(df).json(path)
 
 
 def write_splits(df: DataFrame, path: str) -> None:
     """The whole curated table in one write, one split=<name> folder per non-empty split."""
-    df.write.mode("errorifexists").partitionBy("split").option("ignoreNullFields", False).json(path)
+    _json_writer(df).partitionBy("split").json(path)
 
 
 def read_splits(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -31,5 +39,5 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType, split: str)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """(section, metric, value) rows. The table holds counters only, so one file is enough."""
-    summary.coalesce(1).write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    """(section, metric, value) rows."""
+    _json_writer(summary).json(path)

@@ -1,6 +1,7 @@
 """Whole jobs, sources and sinks."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -176,7 +177,8 @@ def test_empty_split_reads_as_empty(spark, tmp_path):
     schema = T.StructType([T.StructField("example_id", T.LongType()), T.StructField("sql", T.StringType()), T.StructField("n", T.StringType())])
     assert sinks.read_split(spark, path, schema, "test").count() == 0
     assert sinks.read_split(spark, path, schema, "train").first().sql == "é"
-    assert '"n":null' in next((tmp_path / "s" / "split=train").glob("*.json")).read_text()
+    line = next((tmp_path / "s" / "split=train").glob("*.json")).read_text()
+    assert line.isascii() and json.loads(line) == {"example_id": 1, "sql": "é", "n": None}
     with pytest.raises(ValueError):
         sinks.read_split(spark, path, schema, "dev")
 
@@ -196,6 +198,26 @@ def test_scratch_follows_the_session(spark):
     assert scratch.scratch_path(spark, "x").startswith(f"{root}/sqlloom/x-")
 
 
+def test_scratch_without_a_named_folder(monkeypatch):
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    monkeypatch.setattr(scratch, "_private_roots", [])
+    local = Session(**{"spark.master": "local[2]"})
+    assert scratch.scratch_root(local) == scratch.scratch_root(local)
+    with pytest.raises(RuntimeError, match="shared folder"):
+        scratch.scratch_root(Session(**{"spark.master": "yarn"}))
+    assert scratch.scratch_root(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/c/"})) == "hdfs://x/c"
+
+
+def test_discard_scratch(spark):
+    written = scratch.materialize(spark.range(5), "gone")
+    path = written.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(path) and scratch.discard_scratch(spark) >= 1
+    assert not os.path.exists(path) and scratch.discard_scratch(spark) == 0
+
+
 def test_spread_leaves_wide_scans_alone(spark, tmp_path):
     path = str(tmp_path / "w")
     spark.range(1000).repartition(16).write.parquet(path)
