@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from sqlloom.functions.text import normalize_whitespace, strip, text_or_empty
+from sqlloom.functions.text import WS, normalize_whitespace, strip, text_or_empty
 
 # One statement with its semicolon. Quotes hide semicolons, a backslash escapes
 # the next character anywhere, an open quote runs to the end.
@@ -17,21 +17,30 @@ STATEMENT = (
     r"|\"(?:[^\"\\]++|\\.)*+(?:\"|\\?\z)|\\\z)++;?|;"
 )
 
-# One lexical token of SQL.
+# Characters beyond ASCII that are not blanks; all of them may be part of a word.
+WIDE = (
+    r"\x{80}-\x{84}\x{86}-\x{9f}\x{a1}-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}"
+    r"\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}"
+)
+
+# One lexical token of SQL. The frequent kinds come first; what several kinds can start with is
+# tried from the longest down.
 TOKEN = "|".join(
     (
+        r"[xX]'[0-9A-Fa-f]*+'",  # blob
+        rf"[A-Za-z_{WIDE}][A-Za-z0-9_${WIDE}]*+",  # word
+        r"[(),;*+%]",
+        r"(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?",  # number
         r"'(?:[^']++|'')*+'?",  # string
         r'"(?:[^"]++|"")*+"?',  # quoted names
         r"`(?:[^`]++|``)*+`?",
         r"\[[^\]]*+\]",
         r"--[^\n]*+",  # comments
         r"/\*[^*]*+\*++(?:[^/*][^*]*+\*++)*+/",
-        r"[xX]'[0-9A-Fa-f]*+'",  # blob
-        r"[:@$?]?[A-Za-z_\x{80}-\x{10ffff}][A-Za-z0-9_$\x{80}-\x{10ffff}]*+",  # word or parameter
-        r"(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?",  # number
+        rf"[:@$][A-Za-z_{WIDE}][A-Za-z0-9_${WIDE}]*+",  # parameter
         r"\?[0-9]*+",
         r"->>|->|<<|>>|<>|!=|<=|>=|==|\|\|",
-        r"[^\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]",
+        WS.replace("[", "[^", 1),
     )
 )
 
@@ -100,28 +109,31 @@ def canonical_sql(c: Column | str) -> Column:
     tokens = sql_tokens(c)
 
     def render(token: Column, i: Column) -> Column:
-        # get() gives null outside the array; the empty string keeps the tests two-valued.
+        # get() gives null outside the array; the empty string keeps the tests two-valued. The
+        # body runs once per token, so words and other tokens take the tests they need only.
         prev = F.coalesce(F.get(tokens_col, i - 1), F.lit(""))
         prev2 = F.upper(F.coalesce(F.get(tokens_col, i - 2), F.lit("")))
         following = F.coalesce(F.get(tokens_col, i + 1), F.lit(""))
         upper = F.upper(token)
-        called = _is_call(token, upper, F.upper(prev), following)
-        after_call = (token == "(") & _is_call(prev, F.upper(prev), prev2, token)
-        tight = (
-            (i == 0)
-            | prev.isin("(", ".")
-            | token.isin(")", ",", ".")
-            | after_call
-            | (prev.isin("-", "+") & ~token.isin("-", "+") & prev2.isin(*BEFORE_UNARY))
+        glued = prev.isin("", "(", ".", "-", "+") & (
+            prev.isin("", "(", ".") | (~token.isin("-", "+") & prev2.isin(*BEFORE_UNARY))
         )
-        text = (
+        blank = F.when(glued, F.lit("")).otherwise(F.lit(" "))
+        word = F.when(
+            upper.isin(*KEYWORDS) | _is_call(token, upper, F.upper(prev), following), upper
+        ).otherwise(token)
+        opens_call = (token == "(") & _is_call(prev, F.upper(prev), prev2, token)
+        tight = token.isin(")", ",", ".") | glued | opens_call
+        other = (
             F.when(token == "!=", F.lit("<>"))
             .when(token == "==", F.lit("="))
             .when(F.startswith(token, F.lit("--")), _block_comment(token))
-            .when(upper.isin(*KEYWORDS) | called, upper)
             .otherwise(token)
         )
-        return F.concat(F.when(tight, F.lit("")).otherwise(F.lit(" ")), text)
+        # Letters sort behind every ASCII digit and almost every sign.
+        return F.when(token >= "A", F.concat(blank, word)).otherwise(
+            F.concat(F.when(tight, F.lit("")).otherwise(F.lit(" ")), other)
+        )
 
     # Bind the token array once: a one-element outer transform acts as a let.
     def body(bound: Column) -> Column:

@@ -100,6 +100,7 @@ def test_canonical_sql(spark):
         "select a -- note\nfrom t": "SELECT a /* note */ FROM t",
         "select -1, a - 1, - -2, x'aB', :p, ?1, .5": "SELECT -1, a - 1, - - 2, x'aB', :p, ?1, .5",
         "create table t (id int, n varchar ( 50 ), foreign key (id) references u(id))": "CREATE TABLE t (id int, n VARCHAR(50), FOREIGN KEY (id) REFERENCES u (id))",
+        "select\u00a0été ,\u3000b\u2003from t": "SELECT été, b FROM t",
         "select * from (select 1) where a in(1,2) and not exists(select 1)": "SELECT * FROM (SELECT 1) WHERE a IN (1, 2) AND NOT EXISTS (SELECT 1)",
     }
     assert evaluate(spark, list(cases), sqltext.canonical_sql("s")) == list(cases.values())
