@@ -64,7 +64,12 @@ def sql_key(c: Column | str) -> Column:
 
 def leading_keyword(c: Column | str) -> Column:
     """First ASCII word in upper case, looking through opening parentheses only."""
-    return F.upper(F.regexp_extract(normalize_whitespace(c), r"^\(*([A-Za-z]+)", 1))
+    return leading_word(normalize_whitespace(c))
+
+
+def leading_word(normalized: Column) -> Column:
+    """leading_keyword of text that is whitespace-normalized already."""
+    return F.upper(F.regexp_extract(normalized, r"^\(*+([A-Za-z]++)", 1))
 
 
 def sqlite_type(c: Column | str) -> Column:
