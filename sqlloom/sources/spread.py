@@ -17,9 +17,10 @@ def spread(df: DataFrame, by: str) -> DataFrame:
     spark = df.sparkSession
     if df.isStreaming:
         return df
-    files = df.inputFiles()
+    # Counted on the JVM side: a large table has more names than should come over to Python.
+    files = df._jdf.inputFiles()
     cores = spark.sparkContext.defaultParallelism
-    if not files or len(files) >= cores:
+    if not 0 < len(files) < cores:
         return df
     try:
         sizes = spark.read.format("binaryFile").load([unquote(f) for f in files]).select("length")
