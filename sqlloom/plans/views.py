@@ -42,8 +42,7 @@ SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN concat('what IS the total price f
 FROM {customer}
 """
 
-# One database per customer, in one of two layouts; an extra entry for fleet databases with a
-# later ordinal tests that the last duplicate wins.
+# One database per customer, in one of two layouts.
 CATALOG_COLUMNS = """
 SELECT concat(t.kind, '_', CAST(c.c_custkey AS STRING)) AS db_id, t.table_idx, t.table_name, t.column_idx, t.column_name, t.column_type, t.is_pk, t.fk_target_idx
 FROM {customer} AS c
@@ -55,23 +54,21 @@ JOIN (VALUES
 ON t.kind = CASE WHEN c.c_custkey % 2 = 0 THEN 'shop' ELSE 'fleet' END
 """
 
-# The same databases as raw catalog objects (Spark only; the shape of one JSON object each).
+# The same databases as raw catalog objects (Spark only; the shape of one JSON object each). Every
+# database has an earlier entry too, which must lose.
 RAW_CATALOG = """
-SELECT concat('shop_', CAST(c_custkey AS STRING)) AS db_id,
- array('customer', 'orders') AS table_names_original,
- array(array('-1', '*'), array('0', 'id'), array('0', 'name'), array('0', 'active'), array('1', 'id'), array('1', 'cust id'), array('1', 'at')) AS column_names_original,
- array('text', 'number', 'text', 'boolean', 'number', 'NUMBER', 'time') AS column_types,
- array(1, 4) AS primary_keys, array(array(5, 1)) AS foreign_keys, 0L AS ordinal
-FROM {customer} WHERE c_custkey % 2 = 0
+SELECT concat(kind, '_', CAST(c_custkey AS STRING)) AS db_id,
+ CASE kind WHEN 'shop' THEN array('customer', 'orders') ELSE array('truck', 'trip') END AS table_names_original,
+ CASE kind WHEN 'shop' THEN array(array('-1', '*'), array('0', 'id'), array('0', 'name'), array('0', 'active'), array('1', 'id'), array('1', 'cust id'), array('1', 'at'))
+  ELSE array(array('-1', '*'), array('0', 'plate'), array('1', 'plate'), array('1', 'leg'), array('1', 'note"s')) END AS column_names_original,
+ CASE kind WHEN 'shop' THEN array('text', 'number', 'text', 'boolean', 'number', 'NUMBER', 'time') ELSE array('text', 'text', 'text', 'number', 'blob') END AS column_types,
+ CASE kind WHEN 'shop' THEN array(1, 4) ELSE array(1, 2, 3) END AS primary_keys,
+ CASE kind WHEN 'shop' THEN array(array(5, 1)) ELSE array(array(2, 1)) END AS foreign_keys, 1L AS ordinal
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'shop' ELSE 'fleet' END AS kind FROM {customer})
 UNION ALL
-SELECT concat('fleet_', CAST(c_custkey AS STRING)), array('truck', 'trip'),
- array(array('-1', '*'), array('0', 'plate'), array('1', 'plate'), array('1', 'leg'), array('1', 'note"s')),
- array('text', 'text', 'text', 'number', 'blob'), array(1, 2, 3), array(array(2, 1)), 1L
-FROM {customer} WHERE c_custkey % 2 = 1
-UNION ALL
-SELECT concat('fleet_', CAST(c_custkey AS STRING)), array('old'), array(array('-1', '*'), array('0', 'x')),
- array('text', 'text'), CAST(NULL AS ARRAY<INT>), CAST(NULL AS ARRAY<ARRAY<INT>>), 0L
-FROM {customer} WHERE c_custkey % 2 = 1
+SELECT concat(CASE WHEN c_custkey % 2 = 0 THEN 'shop_' ELSE 'fleet_' END, CAST(c_custkey AS STRING)), array('old'),
+ array(array('-1', '*'), array('0', 'x')), array('text', 'text'), CAST(NULL AS ARRAY<INT>), CAST(NULL AS ARRAY<ARRAY<INT>>), 0L
+FROM {customer}
 """
 
 EXAMPLES = """

@@ -30,6 +30,8 @@ def test_matches_oracle(spark, sf, con, name):
     relation = con.sql(sql)
     types = dict(zip(relation.columns, map(str, relation.types)))
     assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == types
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert differences(df, con, sql) is None
 
 
