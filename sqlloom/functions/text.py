@@ -10,6 +10,9 @@ WS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# Runs that are not one plain blank already; single blanks, the usual case, cost no replacement.
+WS_RUN = WS + r"(?:(?<!\x{20})" + WS + "*+|" + WS + "++)"
+
 # The same characters as a set for trimming.
 WS_CHARS = "".join(
     chr(c)
@@ -49,7 +52,7 @@ def strip(c: Column | str) -> Column:
 
 def normalize_whitespace(c: Column | str) -> Column:
     """Whitespace runs become one blank, ends trimmed, null becomes ''."""
-    return F.trim(F.regexp_replace(text_or_empty(c), f"{WS}+", " "))
+    return F.trim(F.regexp_replace(text_or_empty(c), WS_RUN, " "))
 
 
 def text_key(c: Column | str) -> Column:

@@ -84,3 +84,15 @@ def test_ratio_contract():
     SplitRatios(0.8, 0.2, 0.0)
     with pytest.raises(ValueError, match="sum to 1.0"):
         SplitRatios(0.8, 0.1, 0.2)
+
+
+def test_only_living_sql_goes_to_python(spark, sf):
+    from sqlloom.plans import jobs, views
+
+    classified = jobs.classify_corpus(views.corpus(spark, sf), views.blocklist(spark, sf))
+    plan = classified._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "valid_sqlite(sql#" in plan
+    assert "BatchEvalPython" not in plan and "MapInPandas" not in plan
+    screened = jobs.screen(views.corpus(spark, sf)).where("drop_reason LIKE 'drop_short%'")
+    assert screened.where("sql IS NOT NULL OR sql_context IS NOT NULL OR domain IS NOT NULL").count() == 0
+    assert screened.count() > 0
