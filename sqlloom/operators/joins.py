@@ -24,32 +24,36 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
-def fits_broadcast(df: DataFrame, options: JoinOptions) -> bool:
-    rows, size = measured_size(df)
+def fits_broadcast(rows: int, size: int, options: JoinOptions) -> bool:
     return rows <= options.broadcast_max_rows and size <= options.broadcast_max_bytes
 
 
+def salts_for(size: int, options: JoinOptions) -> int:
+    """As many copies as the budget allows: the larger the table, the fewer. Adaptive planning
+    splits what the salts leave skewed."""
+    affordable = options.copies_max_bytes // max(size, 1)
+    return max(options.min_salts, min(options.salts, affordable))
+
+
 def lookup(
     probe: DataFrame,
     table: DataFrame,
     key: str,
     spread_by: str,
     options: JoinOptions = JoinOptions(),
-    small: bool | None = None,
 ) -> DataFrame:
     """Left join on ``key``, which must be unique in ``table``.
 
-    Unless the caller knows its size, the table is written once, then measured and joined from
-    the files. A table measured to be small is broadcast and the probe side stays where it is. A larger one
-    is copied once per salt and the probe rows of one key are spread over the salts by the hash
-    of ``spread_by``, so a key holding a third of the rows is still shared by many tasks.
+    The table is written once, measured, and joined from the files. A small one is broadcast and
+    the probe side stays where it is. A larger one is copied once per salt and the probe rows of
+    one key are spread over the salts by the hash of ``spread_by``, so a key holding a third of
+    the rows is still shared by many tasks.
     """
-    if small is None:
-        table = materialize(table, "lookup")
-        small = fits_broadcast(table, options)
-    if small:
+    table = materialize(table, "lookup")
+    rows, size = measured_size(table)
+    if fits_broadcast(rows, size, options):
         return probe.join(F.broadcast(table), key, "left")
-    salts = options.salts
+    salts = salts_for(size, options)
     copies = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = probe.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     return salted.join(copies, [key, _SALT], "left").drop(_SALT)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sqlloom.operators import catalog, dedupe, leaks, profiles, ranking
-from sqlloom.operators.joins import fits_broadcast, lookup
+from sqlloom.operators.joins import fits_broadcast, lookup, measured_size, salts_for
 from sqlloom.options import JoinOptions, SplitRatios
 
 LARGE = JoinOptions(broadcast_max_rows=0, broadcast_max_bytes=0, salts=8)
@@ -31,7 +31,7 @@ def test_lookup_small_and_large_agree(spark, hot):
 
 def test_large_lookup_spreads_a_hot_key(spark, hot):
     table = hot.select("key").distinct().withColumn("v", F.lit(1))
-    joined = lookup(hot, table, "key", "id", LARGE, small=False)
+    joined = lookup(hot, table, "key", "id", LARGE)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "pmod(xxhash64(id" in plan
     salted = hot.where("key = 'hot'").select(F.pmod(F.xxhash64("id"), F.lit(LARGE.salts)).alias("salt"))
@@ -41,9 +41,16 @@ def test_large_lookup_spreads_a_hot_key(spark, hot):
 
 def test_size_check_counts_rows_and_bytes(spark):
     df = spark.createDataFrame([("a", "x" * 1000), ("b", None)], "k string, v string")
-    assert fits_broadcast(df, JoinOptions(broadcast_max_rows=2, broadcast_max_bytes=2000))
-    assert not fits_broadcast(df, JoinOptions(broadcast_max_rows=1))
-    assert not fits_broadcast(df, JoinOptions(broadcast_max_bytes=500))
+    rows, size = measured_size(df)
+    assert (rows, size) == (2, 1002)
+    assert fits_broadcast(rows, size, JoinOptions(broadcast_max_rows=2, broadcast_max_bytes=2000))
+    assert not fits_broadcast(rows, size, JoinOptions(broadcast_max_rows=1))
+    assert not fits_broadcast(rows, size, JoinOptions(broadcast_max_bytes=500))
+    assert measured_size(df.where("k = 'z'")) == (0, 0)
+
+
+def test_copies_shrink_with_the_table():
+    assert [salts_for(size, JoinOptions()) for size in (0, 1 << 30, 1 << 36, 1 << 42)] == [64, 64, 16, 4]
 
 
 def test_keep_first_hot_key(spark, hot):
