@@ -73,10 +73,9 @@ def _in(value: str, words: tuple[str, ...]) -> str:
 
 
 def _call(token: str, before: str, following: str) -> str:
-    plain = tuple(k for k in sqltext.KEYWORDS if k != "CAST")
     return (
         f"({following} = '(' AND regexp_matches({token}, '^[A-Za-z_]')"
-        f" AND NOT {_in(f'upper({token})', plain)}"
+        f" AND NOT {_in(f'upper({token})', sqltext.NEVER_CALLED)}"
         f" AND NOT {_in(f'upper({before})', sqltext.NAME_CONTEXT)})"
     )
 

@@ -55,6 +55,8 @@ KEYWORDS = tuple(
     """.split()
 )
 
+NEVER_CALLED = tuple(word for word in KEYWORDS if word != "CAST")
+
 # A sign right after one of these belongs to the number or name behind it.
 BEFORE_UNARY = (
     "", "(", ",", "=", "==", "<>", "!=", "<", ">", "<=", ">=", "||", "*", "/", "%",
@@ -107,6 +109,18 @@ def canonical_sql(c: Column | str) -> Column:
     """One-line form of a statement: keywords and call names upper, one spelling per operator,
     fixed spacing, literals and quoted names untouched, no semicolon."""
     tokens = sql_tokens(c)
+    # Made once: the tests below use each list several times.
+    keywords, not_called, names, signed = (
+        [F.lit(word) for word in words] for words in (KEYWORDS, NEVER_CALLED, NAME_CONTEXT, BEFORE_UNARY)
+    )
+
+    def is_call(token: Column, upper: Column, prev_upper: Column, following: Column) -> Column:
+        return (
+            (following == "(")
+            & token.rlike(r"^[A-Za-z_]")
+            & ~upper.isin(*not_called)
+            & ~prev_upper.isin(*names)
+        )
 
     def render(token: Column, i: Column) -> Column:
         # get() gives null outside the array; the empty string keeps the tests two-valued. The
@@ -116,13 +130,13 @@ def canonical_sql(c: Column | str) -> Column:
         following = F.coalesce(F.get(tokens_col, i + 1), F.lit(""))
         upper = F.upper(token)
         glued = prev.isin("", "(", ".", "-", "+") & (
-            prev.isin("", "(", ".") | (~token.isin("-", "+") & prev2.isin(*BEFORE_UNARY))
+            prev.isin("", "(", ".") | (~token.isin("-", "+") & prev2.isin(*signed))
         )
         blank = F.when(glued, F.lit("")).otherwise(F.lit(" "))
         word = F.when(
-            upper.isin(*KEYWORDS) | _is_call(token, upper, F.upper(prev), following), upper
+            upper.isin(*keywords) | is_call(token, upper, F.upper(prev), following), upper
         ).otherwise(token)
-        opens_call = (token == "(") & _is_call(prev, F.upper(prev), prev2, token)
+        opens_call = (token == "(") & is_call(prev, F.upper(prev), prev2, token)
         tight = token.isin(")", ",", ".") | glued | opens_call
         other = (
             F.when(token == "!=", F.lit("<>"))
@@ -145,15 +159,6 @@ def canonical_sql(c: Column | str) -> Column:
     return F.get(F.transform(F.array(tokens), body), F.lit(0))
 
 
-def _is_call(token: Column, upper: Column, prev_upper: Column, following: Column) -> Column:
-    return (
-        (following == "(")
-        & token.rlike(r"^[A-Za-z_]")
-        & ~upper.isin(*(k for k in KEYWORDS if k != "CAST"))
-        & ~prev_upper.isin(*NAME_CONTEXT)
-    )
-
-
 def _block_comment(token: Column) -> Column:
     inner = F.replace(F.substr(token, F.lit(3)), F.lit("*/"), F.lit("* /"))
     return F.concat(F.lit("/* "), strip(inner), F.lit(" */"))
