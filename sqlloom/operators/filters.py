@@ -17,7 +17,6 @@ BLOCKED_DIALECT = "drop_blocklisted_dialect"
 PARSE_FAILED = "drop_sqlite_parse_failed"
 MISSING_DDL = "drop_missing_schema_ddl"
 LEAKED = "drop_leak_blocklist"
-DUPLICATE = "drop_duplicate"
 MISSING_FIELDS = "drop_missing_fields"
 MISSING_SCHEMA = "drop_missing_schema"
 

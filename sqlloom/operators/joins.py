@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sqlloom.options import JoinOptions
 from sqlloom.sources.scratch import materialize
@@ -35,6 +35,13 @@ def salts_for(size: int, options: JoinOptions) -> int:
     return max(options.min_salts, min(options.salts, affordable))
 
 
+def salt_of(key: str, spread_by: str, salts: int) -> Column:
+    """One of the salts by the hash of ``spread_by``. Rows without a key match nothing, so they
+    take the whole hash and go anywhere rather than to the few places a null key hashes to."""
+    spread = F.xxhash64(spread_by)
+    return F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, F.lit(salts)))
+
+
 def lookup(
     probe: DataFrame,
     table: DataFrame,
@@ -54,6 +61,7 @@ def lookup(
     if fits_broadcast(rows, size, options):
         return probe.join(F.broadcast(table), key, "left")
     salts = salts_for(size, options)
-    copies = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = probe.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    copies = table.withColumn(_SALT, F.explode(every_salt))
+    salted = probe.withColumn(_SALT, salt_of(key, spread_by, salts))
     return salted.join(copies, [key, _SALT], "left").drop(_SALT)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from sqlloom.functions import tokens
-from sqlloom.operators import messages, profiles, supervision
+from sqlloom.operators import messages, profiles
 from sqlloom.options import CurateOptions, PromptOptions, TokenOptions, benchmark_run, five_thousand_run, smoke_run
 from sqlloom.plans import jobs, views
 from sqlloom.sources import contracts, readers, scratch, sinks

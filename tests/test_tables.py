@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sqlloom.operators import catalog, dedupe, leaks, profiles, ranking
-from sqlloom.operators.joins import fits_broadcast, lookup, measured_size, salts_for
+from sqlloom.operators.joins import fits_broadcast, lookup, measured_size, salt_of, salts_for
 from sqlloom.options import JoinOptions, SplitRatios
 
 LARGE = JoinOptions(broadcast_max_rows=0, broadcast_max_bytes=0, salts=8)
@@ -34,11 +34,22 @@ def test_large_lookup_spreads_a_hot_key(spark, hot):
     joined = lookup(hot, table, "key", "id", LARGE)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "pmod(xxhash64(id" in plan
-    salted = hot.where("key = 'hot'").select(F.pmod(F.xxhash64("id"), F.lit(LARGE.salts)).alias("salt"))
+    salted = hot.where("key = 'hot'").select(salt_of("key", "id", LARGE.salts).alias("salt"))
     sizes = [r["count"] for r in salted.groupBy("salt").count().collect()]
     assert len(sizes) == LARGE.salts and max(sizes) < 2 * 10_000 / LARGE.salts
 
 
+def test_large_lookup_spreads_rows_without_a_key(spark, hot):
+    gaps = hot.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
+    table = hot.select("key").distinct().withColumn("v", F.lit(1))
+    joined = lookup(gaps, table, "key", "id", LARGE)
+    assert joined.count() == 30_000 and joined.where("v IS NULL").count() == 10_000
+    lost = gaps.where("key IS NULL").withColumn("salt", salt_of("key", "id", LARGE.salts))
+    per_task = lost.repartition(50, "key", "salt").groupBy(F.spark_partition_id()).count()
+    sizes = [r["count"] for r in per_task.collect()]
+    assert len(sizes) == 50 and max(sizes) < 2 * 10_000 / 50
+
+
 def test_size_check_counts_rows_and_bytes(spark):
     df = spark.createDataFrame([("a", "x" * 1000), ("b", None)], "k string, v string")
     rows, size = measured_size(df)
