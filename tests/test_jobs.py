@@ -226,3 +226,13 @@ def test_spread_leaves_wide_scans_alone(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(path + "1")
     assert spread(spark.read.parquet(path + "1"), "id") is not df
     assert (_bytes("128MB"), _bytes("134217728b"), _bytes("2g"), _bytes("77")) == (2**27, 2**27, 2**31, 77)
+
+
+def test_dataset_without_a_key_gets_an_ordinal(spark, sf, tmp_path):
+    path = str(tmp_path / "d")
+    keyless = views.corpus(spark, sf).drop("example_id").withColumn("split", F.lit("train"))
+    keyless.repartition(4).write.partitionBy("split").parquet(path)
+    source = readers.add_file_ordinal(readers.read_dataset(spark, path))
+    assert source.select("example_id").distinct().count() == keyless.count()
+    rows = jobs.curated_rows(source, None, smoke_run())
+    assert rows.count() == 20
