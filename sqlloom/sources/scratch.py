@@ -40,6 +40,40 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class RunScratch:
+    """Tables of one run, in a folder of its own below the scratch root.
+
+    ``write`` ends lineage at files every executor can read; ``drop`` deletes one table once
+    nothing reads it any more, ``close`` all of them. Tables of other runs are never touched.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.path = scratch_path(spark, label)
+
+    def table(self, label: str) -> str:
+        return f"{self.path}/{label}"
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(self.table(label))
+        return self.read(df, label)
+
+    def read(self, df: DataFrame, label: str) -> DataFrame:
+        return self.spark.read.schema(df.schema).parquet(self.table(label))
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            delete_path(self.spark, self.table(label))
+
+    def close(self) -> None:
+        delete_path(self.spark, self.path)
+
+
+def delete_path(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def discard_scratch(spark: SparkSession) -> int:
     """Delete the tables this process has written here, once nothing reads them any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
