@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sqlloom.llm import binary_index, curve_packing, sharding
+from sqlloom.llm import binary_index, curve_packing, license_scan, sharding
 from sqlloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = 8
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_binary_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_index.id_records(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
@@ -29,5 +33,5 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_binary_index, op5_curve_packing, op9_sharding)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op5_curve_packing, op9_sharding)}
+ORACLES: dict[str, str] = {"op1_license_scan": license_scan.oracle()}
