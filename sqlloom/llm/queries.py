@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sqlloom.llm import binary_index, curve_packing, license_scan, sharding
+from sqlloom.llm import binary_index, curve_packing, language_crf, license_scan, pu_quality, sharding
 from sqlloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_binary_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_index.id_records(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
 
+def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
 
@@ -33,5 +37,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op5_curve_packing, op9_sharding)}
+def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op4_language_crf, op5_curve_packing, op9_sharding, op10_pu_quality)}
 ORACLES: dict[str, str] = {"op1_license_scan": license_scan.oracle()}
