@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import struct
+import unicodedata
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -12,8 +14,13 @@ CACHED_WORDS = 1_000_000
 #: New words sent to the library in one text, parted by a special token.
 WORDS_A_CALL = 500
 
-#: Words whose pre-tokens are plain: ASCII letters, lower-cased, and a mark behind them.
-PLAIN = re.compile("([A-Za-z]+)([.,]?)")
+#: Characters whose lower case depends on their place or has two characters.
+PLACED_CASE = re.compile("[\u0130\u03a3]")
+
+#: Byte-level vocabularies show a byte by its Latin-1 character if that is visible, else by the next
+#: of the characters from 256 on.
+_hidden = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
+BYTES_SHOWN = {b: 256 + i for i, b in enumerate(_hidden)}
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -36,7 +43,7 @@ class WordEncoder:
     For lower-casing tokenizers whose pre-tokenizer drops white space, never joins characters across
     it and parts letters from marks, so the ids of a text are those of its words one after the other
     (checked against the library's ids of whole texts in the tests). Only words that are not cached
-    are sent to the library: plain ones to its model, which is what they come to after the
+    are sent to the library: words of letters to its model, which is what they come to after the
     pre-tokenizer, others through the whole tokenizer.
     """
 
@@ -49,17 +56,17 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Raw ids of each text; null counts as empty."""
-        words = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
+        words = [self._lowered(text).replace("\n", " ").split(" ") if text else [] for text in texts]
         cache = self.cache
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        new = {w for ws in words for w in ws if w not in cache}
-        tokenize = self.tokenizer.model.tokenize
-        for word in new:
-            if found := PLAIN.fullmatch(word):
-                stem, mark = found.groups()
-                cache[word] = np.array([t.id for part in (stem.lower(), mark) if part for t in tokenize(part)], self.dtype).tobytes()
-        new = {w for w in new if w not in cache}
+        new = set()
+        for word in set().union(*words).difference(cache):
+            stem, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
+            if stem.isalpha() and (stem.isascii() or unicodedata.is_normalized("NFC", stem)) and stem == stem.lower():
+                cache[word] = self._piece(stem) + self._piece(tail) if tail else self._piece(stem)
+            else:
+                new.add(word)
         plain = [w for w in new if self.mark and self.mark not in w]
         for at in range(0, len(plain), WORDS_A_CALL):
             some = plain[at : at + WORDS_A_CALL]
@@ -74,5 +81,18 @@ class WordEncoder:
         get = cache.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
+    def _lowered(self, text: str) -> str:
+        """Lower case where that is what the tokenizer makes of each character by itself; a text that
+        may hold a special token stays as it is."""
+        return text if "<|" in text or PLACED_CASE.search(text) else text.lower()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one pre-token, by the library's model over its bytes."""
+        if piece not in self.cache:
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTES_SHOWN)
+            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            self.cache[piece] = struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
+        return self.cache[piece]
+
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
