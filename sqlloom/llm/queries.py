@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sqlloom.llm import binary_index, cover_tree, curve_packing, jaccard_join, language_crf, license_scan, pu_quality, sharding
+from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, pu_quality, sharding
 from sqlloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_binary_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_index.id_records(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.languages(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op9_sharding, op10_pu_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op9_sharding, op10_pu_quality)}
 ORACLES: dict[str, str] = {"op1_license_scan": license_scan.oracle(), "op6_cover_tree": cover_tree.oracle()}
