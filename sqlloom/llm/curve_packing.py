@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sqlloom.llm.common import arrow_batch, mix, pieces
+from sqlloom.llm.ordering import sums_in_front
 from sqlloom.llm.tokens import encoder
 from sqlloom.sources.scratch import RunScratch
 
@@ -101,32 +101,12 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(encode, "doc_id long, curve_key long, n long, ids binary")
 
 
-def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Start of each row among the ids of this sorted range."""
-    done, part = 0, TaskContext.get().partitionId()
-    for batch in batches:
-        n = np.asarray(batch.column("n"), np.int64)
-        ends = np.cumsum(n) + done
-        yield arrow_batch(PLACED, row=batch.column("row"), part=np.full(len(n), part, np.int32), n=n, local=ends - n)
-        done = int(ends[-1]) if len(n) else done
-
-
-PLACED = pa.schema([("row", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("local", pa.int64())])
-
-
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """One row a piece: which ids of which document lie where in which sequence."""
-    spark = docs.sparkSession
-    scratch = RunScratch(spark, "packing")
+    scratch = RunScratch(docs.sparkSession, "packing")
     # The row number is fixed once it is written.
     rows = scratch.write(encoded(docs, tokenizer, end_id).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = rows.select("curve_key", "row", "n").repartitionByRange(ranges, "curve_key", "row").sortWithinPartitions("curve_key", "row")
-    placed = scratch.write(order.mapInArrow(_running, "row long, part int, n long, local long"), "placed")
-    # As many rows as ranges: their running sums are a window in one task.
-    sums = placed.groupBy("part").agg(F.sum("n").alias("total"))
-    bases = sums.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    starts = placed.join(bases, "part").select("row", (F.col("base") + F.col("local")).alias("at"))
+    starts = sums_in_front(rows.select("curve_key", "row", "n"), ["curve_key", "row"], scratch, "placed")
     found = rows.join(starts.hint("shuffle_hash"), "row").select("doc_id", "curve_key", "at", "ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, pu_quality, sharding
+from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, pu_quality, quotations, sharding
 from sqlloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.link_replies(table(spark, sf_dir, "conversations"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), shards=SHARDS)
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -53,5 +57,5 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op9_sharding, op10_pu_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op8_quotations, op9_sharding, op10_pu_quality)}
 ORACLES: dict[str, str] = {"op1_license_scan": license_scan.oracle(), "op6_cover_tree": cover_tree.oracle()}
