@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ RING = 10  # rings of distance 0.1
 BLOCK_SHINGLES = 1 << 17
 
 SETS = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("head", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("text_md5", pa.binary()), ("n", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("head", pa.list_(pa.int64()))]
 )
 _MIX = np.array([2 * k + 0x9E3779B1 for k in range(BANDS * ROWS_A_BAND)], np.uint32) | np.uint32(1)
 
@@ -107,10 +108,11 @@ def sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                yield _sketch(part.column("doc_id"), *shingle_sets(part.column("text")), shared.value)
+                prints = [md5(t.as_py() or b"").digest() for t in part.column("text").cast(pa.binary())]
+                yield _sketch(part.column("doc_id"), prints, *shingle_sets(part.column("text")), shared.value)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(compute, "doc_id long, n long, key_a long, key_b long, bands array<long>, head array<long>")
+    return rows.mapInArrow(compute, "doc_id long, text_md5 binary, n long, key_a long, key_b long, bands array<long>, head array<long>")
 
 
 def set_keys(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +126,7 @@ def set_keys(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray,
     return keys[0].view(np.int64), keys[1].view(np.int64)
 
 
-def _sketch(ids: pa.Array, owner: np.ndarray, value: np.ndarray, frequent: np.ndarray) -> pa.RecordBatch:
+def _sketch(ids: pa.Array, prints: list[bytes], owner: np.ndarray, value: np.ndarray, frequent: np.ndarray) -> pa.RecordBatch:
     n = len(ids)
     size, first = _runs(owner, n)
     some = np.flatnonzero(size)
@@ -146,6 +148,7 @@ def _sketch(ids: pa.Array, owner: np.ndarray, value: np.ndarray, frequent: np.nd
     return arrow_batch(
         SETS,
         doc_id=ids,
+        text_md5=prints,
         n=size,
         key_a=key_a,
         key_b=key_b,
@@ -335,7 +338,7 @@ def _blocks(rows: DataFrame, name: str) -> DataFrame:
 
 
 def links(docs: DataFrame, scratch: RunScratch) -> tuple[DataFrame, DataFrame]:
-    """The rows with their class (doc_id, n, class), and links (a, b) between classes that join
+    """The rows with their class (doc_id, text_md5, n, class), and links (a, b) between classes that join
     exactly the classes that all similar pairs join."""
     spark = docs.sparkSession
     rows = sketches(docs, frequent_shingles(docs)).withColumn("row", F.monotonically_increasing_id())
@@ -389,18 +392,54 @@ def links(docs: DataFrame, scratch: RunScratch) -> tuple[DataFrame, DataFrame]:
     met = a.join(h, "region").where(near).select("askers", "homes")
     found = met.mapInArrow(_block_links, "a long, b long")
     every = scratch.write(direct.unionByName(found), "links")
-    classed = rows.select("doc_id", "n", "key_a", "key_b").join(mapping, ["key_a", "key_b"], "left")
-    return classed.select("doc_id", "n", "class"), every
+    classed = rows.select("doc_id", "text_md5", "n", "key_a", "key_b").join(mapping, ["key_a", "key_b"], "left")
+    return classed.select("doc_id", "text_md5", "n", "class"), every
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    scratch = RunScratch(docs.sparkSession, "jaccard")
+def rooted(docs: DataFrame, scratch: RunScratch) -> DataFrame:
+    """(doc_id, text_md5, n, root) of every row; rows without shingles have no root."""
     classed, found = links(docs, scratch)
     roots = components(found, scratch, "components").withColumnRenamed("vertex", "class")
     rows = classed.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rows = scratch.write(rows.select("doc_id", "n", "root"), "rooted")
+    return scratch.write(rows.select("doc_id", "text_md5", "n", "root"), "rooted")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    rows = rooted(docs, RunScratch(docs.sparkSession, "jaccard"))
     names = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("name"))
     return rows.join(names, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``docs`` with one row of each component, the one of the least id (rows without an id last).
+
+    The rows that go are named by id and digest of the text. Their list is broadcast when it is short
+    enough by count, else joined by a shuffle; the texts are not moved otherwise. Rows without
+    shingles all stay.
+    """
+    scratch = RunScratch(docs.sparkSession, "jaccard")
+    rows = rooted(docs, scratch).where("root IS NOT NULL")
+    no_id = F.col("doc_id").isNull().alias("no_id")
+    key = F.struct(no_id, "doc_id", "text_md5")
+    counted = rows.groupBy("root", "doc_id", "text_md5").agg(F.count(F.lit(1)).alias("copies"))
+    stays = rows.groupBy("root").agg(F.min(key).alias("stays"))
+    judged = counted.join(stays, "root").select("doc_id", "text_md5", "copies", (F.col("stays") == key).alias("first"))
+    judged = scratch.write(judged, "judged")
+
+    def named(some: DataFrame, kind: str, frame: DataFrame) -> DataFrame:
+        some = some.select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5"))
+        some = F.broadcast(some) if some.count() <= broadcast_rows else some.hint("shuffle_hash")
+        print_ = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (print_ == F.col("__md5"))
+        return frame.join(some, same, kind)
+
+    kept = named(judged.where("NOT first"), "left_anti", docs)
+    again = judged.where("first AND copies > 1")
+    if again.isEmpty():
+        return kept
+    # Rows repeated as a whole: one of each.
+    single = named(again, "left_semi", kept).dropDuplicates(["doc_id", "text"])
+    return named(again, "left_anti", kept).unionByName(single)
