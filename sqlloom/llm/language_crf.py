@@ -135,8 +135,10 @@ def fit(texts: list[str], labels: list[str], seed: int = 11) -> Crf:
     """Maximum likelihood by Adam over minibatches of chains; every word bears its text's label."""
     languages = sorted(set(labels))
     k = len(languages)
+    if not k:
+        return Crf([], np.zeros((1 << FEATURE_BITS, 0)), np.zeros((0, 0)), np.zeros((1 << FEATURE_BITS, 0)), np.zeros(0))
     words = Words(pa.array(texts, pa.string()), NO_LETTERS)
-    label = np.searchsorted(languages, labels)[words.doc] if k else np.zeros(0, np.int64)
+    label = np.searchsorted(languages, labels)[words.doc]
     counts = np.full((1 << FEATURE_BITS, k), LEXICON_SMOOTHING)
     bucket = _bucket(words.hash, WORD)
     np.add.at(counts, (bucket, label), 1.0)

@@ -35,6 +35,7 @@ BATCH = 512
 RATE = 5e-3
 DECAY = 1e-4
 THRESHOLD = 0.7
+LENIENCE = 4.0  # a text reaches the threshold down to this far on the bad side of the margin
 
 LINE_ENDS = separators([(0x0A, 0x0A), (0x0D, 0x0D)])
 #: Classes of byte values, by the characters that stand for them; others follow below.
@@ -128,7 +129,7 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         if not self.weights:
             return np.full(len(x), self.prior)
-        return 1 / (1 + np.exp(-np.clip(self.margin(x), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.margin(x) + LENIENCE + np.log(THRESHOLD / (1 - THRESHOLD)), -30, 30)))
 
 
 def _forward(w: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,11 +166,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed:
         x = np.concatenate([p[rng.integers(0, len(p), BATCH)], u[rng.integers(0, len(u), BATCH)]])
         hidden, g = _forward(w, x)
         s = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
-        # Logistic losses: log(1+exp(-g)) for positive, log(1+exp(g)) for negative.
-        negative = np.logaddexp(0, g)
-        rest = negative[BATCH:].mean() - prior * negative[:BATCH].mean()
-        slope_p, slope_u = prior * (s[:BATCH] - 1) / BATCH, np.zeros(BATCH)
-        part_p, part_u = -prior * s[:BATCH] / BATCH, s[BATCH:] / BATCH
+        # Sigmoid losses: sigma(-g) for positive, sigma(g) for negative; both are bounded.
+        rest = s[BATCH:].mean() - prior * s[:BATCH].mean()
+        steep = s * (1 - s) / BATCH
+        slope_p, slope_u = -prior * steep[:BATCH], np.zeros(BATCH)
+        part_p, part_u = -prior * steep[:BATCH], steep[BATCH:]
         slope = np.concatenate([slope_p + part_p, slope_u + part_u]) if rest >= 0 else -np.concatenate([part_p, part_u])
         back = np.outer(slope, w[2]) * (1 - hidden**2)
         grads = [x.T @ back, back.sum(0), hidden.T @ slope, x.T @ slope, np.array([slope.sum()])]
