@@ -279,4 +279,5 @@ def id_records(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     before = F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")
     starts = manifest.select("shard", before.alias("base"))
     records = read_records(manifest, scratch.table("shards"))
-    return records.join(starts, "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    # The broadcast side has one row a file.
+    return records.join(F.broadcast(starts), "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
