@@ -48,12 +48,14 @@ BANDS_TO_JOIN = 3  # bands in which a class must meet its pivot
 SEEN_LOCALLY = 3
 SEEN = 48
 FREQUENT = 1 << 20
+LOCAL = 1_500_000  # shingles counted at a time in a task
 
 RING = 10  # rings of distance 0.1
 BLOCK_SHINGLES = 1 << 17
+BLOCK_SETS = 512
 
 SETS = pa.schema(
-    [("doc_id", pa.int64()), ("text_md5", pa.binary()), ("n", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("head", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("text_md5", pa.binary()), ("n", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("head", pa.list_(pa.int64())), ("bitmap", pa.binary())]
 )
 _MIX = np.array([2 * k + 0x9E3779B1 for k in range(BANDS * ROWS_A_BAND)], np.uint32) | np.uint32(1)
 
@@ -112,7 +114,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 yield _sketch(part.column("doc_id"), prints, *shingle_sets(part.column("text")), shared.value)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(compute, "doc_id long, text_md5 binary, n long, key_a long, key_b long, bands array<long>, head array<long>")
+    return rows.mapInArrow(compute, "doc_id long, text_md5 binary, n long, key_a long, key_b long, bands array<long>, head array<long>, bitmap binary")
 
 
 def set_keys(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,9 +156,37 @@ def _sketch(ids: pa.Array, prints: list[bytes], owner: np.ndarray, value: np.nda
         key_b=key_b,
         bands=pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64())),
         head=pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(head)]).astype(np.int32)), pa.array(heads)),
+        bitmap=[bitmap(value[f : f + s]) for f, s in zip(first.tolist(), size.tolist())],
     )
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Which remainders the shingles have: about four bits a shingle, a power of two of them."""
+    bits = 1 << max(9, (4 * len(shingles) - 1).bit_length())
+    flags = np.zeros(bits, np.uint8)
+    flags[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).tobytes()
+
+
+def least_distance(a: bytes, n_a: int, b: bytes, n_b: int) -> float:
+    """A lower bound of the distance of two sets of which only bitmaps and sizes are known: each bit
+    that one has and the other hasn't is a shingle that one has and the other hasn't."""
+    a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    apart = int(np.bitwise_count(a ^ b).sum())
+    return 2 * apart / (n_a + n_b + apart) if n_a + n_b else 0.0
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("region", pa.int64()), ("class", pa.int64()), ("at_least", pa.float64())])
+    for batch in batches:
+        values = (batch.column(c).to_pylist() for c in ("bitmap", "n", "pivot_bitmap", "pivot_n"))
+        yield arrow_batch(schema, region=batch.column("region"), **{"class": batch.column("class")}, at_least=[least_distance(*v) for v in zip(*values)])
+
+
 def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> np.ndarray:
     """Shingles to put last: an ordering hint of bounded size, counted over all rows."""
     schema = pa.schema([("shingle", pa.int64()), ("seen", pa.int64())])
@@ -164,21 +194,23 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {"v": np.zeros(0, np.uint64), "n": np.zeros(0, np.int64)}
         pending, size = [], 0
+
         def merge() -> None:
             values = np.concatenate([seen["v"], *pending])
             weight = np.concatenate([seen["n"], np.ones(len(values) - len(seen["v"]), np.int64)])
             v, back = np.unique(values, return_inverse=True)
             n = np.bincount(back, weight, len(v)).astype(np.int64)
-            if len(v) > 4_000_000:  # bounded memory: what was seen once gives way
+            if len(v) > LOCAL:  # what was seen once gives way
                 v, n = v[n > 1], n[n > 1]
             seen["v"], seen["n"] = v, n
             pending.clear()
+
         for batch in batches:
             for part in pieces(batch, "text"):
                 value = shingle_sets(part.column("text"))[1]
                 pending.append(value)
                 size += len(value)
-                if size > 2_000_000:
+                if size > LOCAL // 2:
                     merge()
                     size = 0
         if pending:
@@ -210,18 +242,17 @@ def _encode(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array, "<u8").tobytes()
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, scratch: RunScratch, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """(class, set) of the wanted classes (class, doc_id, key_a, key_b), from the texts.
+def sets_of(docs: DataFrame, wanted: DataFrame, scratch: RunScratch, label: str, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """(class, shingles) of the wanted classes (class, doc_id, key_a, key_b), from the texts.
 
-    Wanted ids are broadcast when they are few enough by count, else joined by a shuffle.
+    The wanted rows are broadcast when they are few enough by count, else joined by a shuffle.
     """
-    ids = wanted.select("doc_id").distinct()
-    few = ids.count() <= broadcast_rows
+    few = wanted.count() <= broadcast_rows
+    sized = lambda df: F.broadcast(df) if few else df.hint("shuffle_hash")
+    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("wanted_id"))
-    ids = ids.withColumnRenamed("doc_id", "wanted_id")
-    rows = rows.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), same, "left_semi")
-    schema = pa.schema([("key_a", pa.int64()), ("key_b", pa.int64()), ("shingles", pa.binary())])
+    rows = rows.join(sized(ids), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    schema = pa.schema([("doc_id", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("shingles", pa.binary())])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,11 +260,19 @@ def sets_of(docs: DataFrame, wanted: DataFrame, scratch: RunScratch, broadcast_r
                 owner, value = shingle_sets(part.column("text"))
                 size, first = _runs(owner, part.num_rows)
                 key_a, key_b = set_keys(owner, value, part.num_rows)
-                yield arrow_batch(schema, key_a=key_a, key_b=key_b, shingles=[_encode(value[f : f + s]) for f, s in zip(first, size)])
+                yield arrow_batch(schema, doc_id=part.column("doc_id"), key_a=key_a, key_b=key_b, shingles=[_encode(value[f : f + s]) for f, s in zip(first, size)])
+
+    made = rows.mapInArrow(compute, "doc_id long, key_a long, key_b long, shingles binary")
+    named = wanted.select("class", F.col("doc_id").alias("wanted_id"), "key_a", "key_b")
+    found = made.join(sized(named), ["key_a", "key_b"]).where(F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    return scratch.write(found.select("class", "shingles"), label)
 
-    made = rows.mapInArrow(compute, "key_a long, key_b long, shingles binary")
-    keyed = made.join(wanted.drop("doc_id"), ["key_a", "key_b"]).select("class", "shingles")
-    return scratch.write(keyed.dropDuplicates(["class"]), "sets")
+
+def _measure(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (region, class, guest) with their set and its distance to the region's pivot."""
+    pivots = sets.select(F.col("class").alias("region"), F.col("shingles").alias("pivot_shingles"))
+    rows = members.join(sets, "class").join(pivots, "region").select("region", "class", "guest", "shingles", "pivot_shingles")
+    return rows.mapInArrow(_against_pivot, "region long, class long, guest boolean, d double, linked boolean, size long, shingles binary")
 
 
 def _against_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,8 +282,8 @@ def _against_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     )
     for batch in batches:
         distance, linked, size = [], [], []
-        for mine, pivot in zip(batch.column("shingles").to_pylist(), batch.column("pivot_shingles").to_pylist()):
-            a, b = np.frombuffer(mine, "<u8"), np.frombuffer(pivot, "<u8")
+        for pair in zip(batch.column("shingles"), batch.column("pivot_shingles")):
+            a, b = (np.frombuffer(x.as_buffer(), "<u8") for x in pair)
             both = len(np.intersect1d(a, b, assume_unique=True))
             union = len(a) + len(b) - both
             distance.append(1 - both / union)
@@ -257,16 +296,16 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning links between the sets of two blocks."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:
-        for row in batch.to_pylist():
-            (ids_a, sets_a), (ids_b, sets_b) = (_members(row[c]) for c in ("askers", "homes"))
+        for i in range(batch.num_rows):  # one pair of blocks at a time
+            (ids_a, sets_a), (ids_b, sets_b) = (_members(batch.column(c)[i].values) for c in ("askers", "homes"))
             linked = _matrix(sets_a, sets_b)
             linked &= ids_a[:, None] != ids_b[None, :]
             a, b = spanning(linked)
             yield arrow_batch(schema, a=ids_a[a], b=ids_b[b])
 
 
-def _members(rows: list[dict]) -> tuple[np.ndarray, list[np.ndarray]]:
-    return np.array([r["class"] for r in rows], np.int64), [np.frombuffer(r["shingles"], "<u8") for r in rows]
+def _members(block: pa.StructArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    return np.asarray(block.field("class"), np.int64), [np.frombuffer(x.as_buffer(), "<u8") for x in block.field("shingles")]
 
 
 def _matrix(sets_a: list[np.ndarray], sets_b: list[np.ndarray]) -> np.ndarray:
@@ -332,7 +371,7 @@ def spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
     """Rows of a region in rings of distance to the pivot and blocks of bounded size."""
     ringed = rows.withColumn("ring", F.floor(F.col("d") * RING).cast("int"))
-    sizes = ringed.groupBy("region", "ring").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("parts"))
+    sizes = ringed.groupBy("region", "ring").agg(F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_SETS)).alias("parts"))
     cut = ringed.join(sizes, ["region", "ring"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")))
     return cut.groupBy("region", "ring", "block").agg(F.collect_list(F.struct("class", "shingles")).alias(name))
 
@@ -351,37 +390,47 @@ def links(docs: DataFrame, scratch: RunScratch) -> tuple[DataFrame, DataFrame]:
     at_home = classes.select("class", "doc_id", "key_a", "key_b", "n").join(homes, "class", "left")
     at_home = scratch.write(at_home.withColumn("region", F.coalesce("region", "class")), "at_home")
 
-    # Prefixes: one shuffle by shingle; those met in several regions are the candidates.
+    # Prefixes: one shuffle by shingle; those met in several regions are the candidates. A region's
+    # range of sizes leaves out whom it can't be similar to.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heads = classes.select("class", "head").join(at_home.select("class", "region"), "class")
-    heads = heads.select("class", "region", F.explode("head").alias("shingle")).repartition(parts, "shingle")
+    heads = classes.select("class", "head").join(at_home.select("class", "region", "n"), "class")
+    heads = heads.select("class", "region", "n", F.explode("head").alias("shingle")).repartition(parts, "shingle")
     several = heads.groupBy("shingle").agg(F.min("region").alias("low"), F.max("region").alias("high")).where("low < high")
     candidates = scratch.write(heads.join(several.select("shingle").hint("shuffle_hash"), "shingle", "left_semi"), "candidates")
-    hosts = candidates.select("shingle", F.col("region").alias("host")).distinct()
-    guests = candidates.join(hosts, "shingle").where("host < region").select(F.col("host").alias("region"), "class").distinct()
+    ranges = candidates.groupBy("shingle", F.col("region").alias("host")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    t = float(SIMILAR)
+    fits = (F.col("host") < F.col("region")) & (F.col("n") >= F.floor(F.col("least") * t)) & (F.floor(F.col("n") * t) <= F.col("most"))
+    named = candidates.withColumnRenamed("shingle", "mine")
+    guests = named.join(ranges, (F.col("mine") == F.col("shingle")) & fits).select(F.col("host").alias("region"), "class").distinct()
     guests = scratch.write(guests, "guests")
 
-    crowded = homes.select("region").distinct()  # regions of more than their pivot
-    hosting = guests.select("region").distinct().unionByName(crowded).distinct()
-    members = at_home.join(hosting, "region", "left_semi").select("region", "class", F.lit(False).alias("guest"))
-    placed = members.unionByName(guests.select("region", "class", F.lit(True).alias("guest")))
-    placed = scratch.write(placed, "members")
-    involved = placed.select("class").distinct()
-    sets = sets_of(docs, at_home.join(involved, "class", "left_semi").select("class", "doc_id", "key_a", "key_b"), scratch)
-
-    pivots = sets.join(hosting.withColumnRenamed("region", "class"), "class", "left_semi")
-    pivots = pivots.select(F.col("class").alias("region"), F.col("shingles").alias("pivot_shingles"))
-    measured = placed.join(sets, "class").join(pivots, "region")
-    measured = measured.select("region", "class", "guest", "shingles", "pivot_shingles").mapInArrow(
-        _against_pivot, "region long, class long, guest boolean, d double, linked boolean, size long, shingles binary"
-    )
-    measured = scratch.write(measured, "measured")
+    # Home classes of the regions that have more than their pivot, and their pivots.
+    crowded = homes.select("region").distinct()
+    crowd = at_home.join(crowded, "region", "left_semi").select("region", "class")
+    keys = at_home.select("class", "doc_id", "key_a", "key_b")
+    needed = crowd.select("class").unionByName(crowded.select(F.col("region").alias("class"))).distinct()
+    sets = sets_of(docs, scratch.write(keys.join(needed, "class", "left_semi"), "needed-homes"), scratch, "sets-homes")
+    measured = scratch.write(_measure(crowd.withColumn("guest", F.lit(False)), sets), "measured-homes")
+    radius = scratch.write(measured.groupBy("region").agg(F.max("d").alias("radius")), "radius")
+
+    # Replicas: first by the bound that bitmaps give, then by their distance.
+    reach = float(1 - SIMILAR) + 1e-9  # a little more than r, for rounding
+    drawn = classes.select("class", "bitmap", "n")
+    pivots = drawn.select(F.col("class").alias("region"), F.col("bitmap").alias("pivot_bitmap"), F.col("n").alias("pivot_n"))
+    bounded = guests.join(drawn, "class").join(pivots, "region").select("region", "class", "bitmap", "n", "pivot_bitmap", "pivot_n")
+    bounded = bounded.mapInArrow(_bounded, "region long, class long, at_least double").join(radius, "region", "left")
+    possible = bounded.where(F.col("at_least") <= F.coalesce("radius", F.lit(0.0)) + reach).select("region", "class")
+    possible = scratch.write(possible, "possible")
+    more = possible.select("class").unionByName(possible.select(F.col("region").alias("class"))).distinct()
+    more = keys.join(more, "class", "left_semi").join(sets.select("class"), "class", "left_anti")
+    sets = sets.unionByName(sets_of(docs, scratch.write(more, "needed-guests"), scratch, "sets-guests"))
+    outside = scratch.write(_measure(possible.withColumn("guest", F.lit(True)), sets), "measured-guests")
+    measured = measured.unionByName(outside)
     direct = measured.where("linked AND class <> region").select(F.col("class").alias("a"), F.col("region").alias("b"))
 
     # The windows: who may still be similar to a home class of a region.
-    reach = float(1 - SIMILAR) + 1e-9  # a little more than r, for rounding
-    radius = measured.where("NOT guest").groupBy("region").agg(F.max("d").alias("radius")).where("radius > 0")
     # A linked replica is in the component of the pivot; only classes of the shell can still need it.
+    radius = radius.where("radius > 0")
     open_ask = (~F.col("linked") & (F.col("d") <= F.col("radius") + reach)) | (F.col("guest") & F.col("linked") & (F.col("radius") > reach))
     askers = measured.join(radius, "region").where(open_ask)
     asked = askers.select("region").distinct()
