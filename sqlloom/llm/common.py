@@ -135,7 +135,7 @@ def arrow_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 3 << 20):
     """The batch in runs of rows whose texts hold about ``limit`` bytes, so working memory is bounded
     by that and the longest single text."""
     sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), np.int64)
