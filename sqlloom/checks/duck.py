@@ -72,14 +72,25 @@ def _in(value: str, words: tuple[str, ...]) -> str:
     return f"{value} IN ({', '.join(lit(w) for w in words)})"
 
 
-def _call(token: str, before: str, following: str) -> str:
+def _call(token: str, before: str, following: str, subquery: str) -> str:
     return (
         f"({following} = '(' AND regexp_matches({token}, '^[A-Za-z_]')"
         f" AND NOT {_in(f'upper({token})', sqltext.NEVER_CALLED)}"
-        f" AND NOT {_in(f'upper({before})', sqltext.NAME_CONTEXT)})"
+        f" AND NOT {_in(f'upper({before})', sqltext.NAME_CONTEXT)} AND NOT {subquery})"
     )
 
 
+def _in_its_clause(prev: str, following: str) -> str:
+    value = "'^[0-9?:@$]'"
+    return f"""CASE upper(t) WHEN 'KEY' THEN {prev} IN ('PRIMARY', 'FOREIGN')
+ WHEN 'VIEW' THEN {prev} IN ('CREATE', 'TEMP', 'TEMPORARY', 'DROP') WHEN 'BY' THEN {prev} IN ('GROUP', 'ORDER', 'PARTITION')
+ WHEN 'FILTER' THEN {prev} = ')' AND {following} = '(' WHEN 'IF' THEN {following} IN ('NOT', 'EXISTS')
+ WHEN 'NULLS' THEN {following} IN ('FIRST', 'LAST') WHEN 'PARTITION' THEN {following} = 'BY' WHEN 'RECURSIVE' THEN {prev} = 'WITH'
+ WHEN 'ROWS' THEN {following} IN ('BETWEEN', 'UNBOUNDED', 'CURRENT') OR regexp_matches({following}, {value})
+ WHEN 'OFFSET' THEN (regexp_matches({prev}, {value}) OR {prev} = ')') AND (regexp_matches({following}, {value}) OR {following} IN ('(', '-'))
+ ELSE NOT {_in(prev, sqltext.OPENERS)} END"""
+
+
 def canonical(tk: str) -> str:
     """Canonical text of a token-list column."""
 
@@ -88,16 +99,26 @@ def canonical(tk: str) -> str:
         return f"coalesce(CASE WHEN i + ({offset}) >= 1 THEN {tk}[i + ({offset})] END, '')"
 
     prev, prev2, following = at(-1), at(-2), at(1)
+
+    def subquery(shift: int) -> str:
+        ends = [
+            f"({at(shift + 2 * k + 1)} = ')' AND upper({at(shift + 2 * k + 2)}) = 'AS' AND {at(shift + 2 * k + 3)} = '(')"
+            for k in range(1, sqltext.LISTED_COLUMNS + 1)
+        ]
+        return f"({at(shift - 1)} = ',' AND ({' OR '.join(ends)}))"
+
+    always = tuple(w for w in sqltext.KEYWORDS if w not in sqltext.CLAUSE_WORDS)
+    clause = f"({_in('upper(t)', sqltext.CLAUSE_WORDS)} AND {_in_its_clause(f'upper({prev})', f'upper({following})')})"
     tight = (
         f"i = 1 OR {prev} IN ('(', '.') OR t IN (')', ',', '.')"
-        f" OR (t = '(' AND {_call(prev, prev2, 't')})"
+        f" OR (t = '(' AND {_call(prev, prev2, 't', subquery(-1))})"
         f" OR ({prev} IN ('-', '+') AND t NOT IN ('-', '+') AND {_in(f'upper({prev2})', sqltext.BEFORE_UNARY)})"
     )
     inner = strip(f"replace(substr(t, 3), {lit('*/')}, {lit('* /')})")
     comment = f"'/* ' || {inner} || ' */'"
     word = (
         f"CASE WHEN t = '!=' THEN '<>' WHEN t = '==' THEN '=' WHEN t LIKE '--%' THEN {comment}"
-        f" WHEN {_in('upper(t)', sqltext.KEYWORDS)} OR {_call('t', prev, following)} THEN upper(t) ELSE t END"
+        f" WHEN {prev} <> '.' AND ({_in('upper(t)', always)} OR {clause} OR {_call('t', prev, following, subquery(0))}) THEN upper(t) ELSE t END"
     )
     body = f"(CASE WHEN {tight} THEN '' ELSE ' ' END) || ({word})"
     return f"coalesce(array_to_string(list_transform({tk}, lambda t, i: {body}), ''), '')"

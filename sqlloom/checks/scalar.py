@@ -73,10 +73,11 @@ def _(spark, sf):
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
 
-@check("t5_split_documents", exploded("documents", "doc_id", "text"))
+# The documents have no semicolons of their own: their sentences are taken for statements.
+@check("t5_split_documents", exploded("(SELECT doc_id, replace(text, '.', ';') AS text FROM documents)", "doc_id", "text"))
 def _(spark, sf):
     return documents(spark, sf).select(
-        "doc_id", F.posexplode(sqltext.split_statements("text")).alias("pos", "statement")
+        "doc_id", F.posexplode(sqltext.split_statements(F.replace("text", F.lit("."), F.lit(";")))).alias("pos", "statement")
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -120,6 +121,31 @@ def _(spark, sf):
     )
 
 
+# Texts and what they must become, both written by hand; %s stands for a number of the row.
+WRITTEN = (
+    ("select 0x1F, 0XabC from t where n=%s", "SELECT 0x1F, 0XabC FROM t WHERE n = %s"),
+    ("select t.key,t.view , t.Filter from t where t.rows>%s", "SELECT t.key, t.view, t.Filter FROM t WHERE t.rows > %s"),
+    ("create table t (key text, filter int, view int, k%s int, primary key(key))", "CREATE TABLE t (key text, filter int, view int, k%s int, PRIMARY KEY (key))"),
+    ("with a(x) as (select 1), b(x, y) as (select %s,2) select x from b", "WITH a (x) AS (SELECT 1), b (x, y) AS (SELECT %s, 2) SELECT x FROM b"),
+    ("select max(a),min(b) from t order by a desc limit %s offset 3", "SELECT MAX(a), MIN(b) FROM t ORDER BY a DESC LIMIT %s OFFSET 3"),
+    ("select offset, rows,end from t order by desc, key asc nulls last limit %s", "SELECT offset, rows, end FROM t ORDER BY desc, key ASC NULLS last LIMIT %s"),
+    ("select sum(a) filter(where a>%s) over (partition by key order by id rows between 1 preceding and current row) from t", "SELECT SUM(a) FILTER (WHERE a > %s) OVER (PARTITION BY key ORDER BY id ROWS BETWEEN 1 preceding AND current row) FROM t"),
+    ("select case when a then %s else 1 end from t", "SELECT CASE WHEN a THEN %s ELSE 1 END FROM t"),
+    ("create view if not exists v as select if from t where id=%s", "CREATE VIEW IF NOT EXISTS v AS SELECT if FROM t WHERE id = %s"),
+)
+
+
+def written(side: int) -> str:
+    cases = " ".join(f"WHEN {i} THEN replace('{pair[side]}', '%s', CAST(o_orderkey AS STRING))" for i, pair in enumerate(WRITTEN))
+    return f"SELECT o_orderkey AS example_id, CASE o_orderkey % {len(WRITTEN)} {cases} END AS canonical"
+
+
+@check("t7_canonical_written", written(1) + " FROM orders")
+def _(spark, sf):
+    source = spread(spark.sql(written(0) + " FROM {orders}", orders=views.table(spark, sf, "orders")), "example_id")
+    return source.select("example_id", sqltext.canonical_sql("canonical").alias("canonical"))
+
+
 @check(
     "t8_canonical_ddl",
     D.with_(
@@ -228,7 +254,16 @@ def _(spark, sf):
     return classified.where("drop_reason IS NULL").select("example_id", "sql_valid", "sql")
 
 
-TIGHT = TokenOptions(max_seq_length=190)
+TIGHT = TokenOptions(max_seq_length=95)
+
+
+# An alternative that begins with a word edge, and a group that is referred to.
+CUSTOM = FilterOptions(blocked_dialect_patterns=(r"\bzz|\|", r"(q)", r"(ea|on)h\1"))
+
+
+@check("f5_dialect_custom", "SELECT doc_id, regexp_matches(text, '(?i)\bzz|\||q|eahea|onhon') AS flagged FROM documents")
+def _(spark, sf):
+    return documents(spark, sf).select("doc_id", filters.has_blocked_dialect(F.col("text"), CUSTOM).alias("flagged"))
 
 
 @check(
@@ -268,6 +303,7 @@ def _(spark, sf):
     )
 
 
-@check("line_comment_flag", f"SELECT doc_id, list_contains(list_transform(regexp_extract_all(text, {D.regex(sqltext.TOKEN)}), lambda t: starts_with(t, '--')), true) AS flagged FROM documents")
+# Every comma followed by a blank becomes the start of a comment.
+@check("line_comment_flag", f"SELECT doc_id, list_contains(list_transform(regexp_extract_all(replace(text, ', ', ' -- '), {D.regex(sqltext.TOKEN)}), lambda t: starts_with(t, '--')), true) AS flagged FROM documents")
 def _(spark, sf):
-    return documents(spark, sf).select("doc_id", sqltext.has_line_comment("text").alias("flagged"))
+    return documents(spark, sf).select("doc_id", sqltext.has_line_comment(F.replace("text", F.lit(", "), F.lit(" -- "))).alias("flagged"))

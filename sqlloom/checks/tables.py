@@ -50,9 +50,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "catalog")
-    views.raw_catalog(spark, sf).write.json(path)
-    stored = T.StructType([*readers.CATALOG.fields, T.StructField("ordinal", T.LongType())])
-    raw = readers.read_json_lines(spark, path, stored)
+    raw = views.raw_catalog(spark, sf)
+    # Earlier entries in the first, smaller files: the later files' entries must win.
+    for name, last in (("a", 0), ("b", 1)):
+        raw.where(F.col("ordinal") == last).drop("ordinal").write.json(f"{path}/{name}")
+    raw = readers.read_catalog(spark, [f"{path}/a", f"{path}/b"], lines=True)
     return catalog.catalog_columns(catalog.normalize_catalog(raw))
 
 
@@ -208,10 +210,13 @@ def _(spark, sf):
 
 @check(
     "j2_documents_benchmark",
-    f"SELECT doc_id FROM documents WHERE {D.text_key('text')} NOT IN (SELECT {D.text_key('text')} FROM benchmark)",
+    f"SELECT doc_id FROM documents WHERE {D.text_key('text')} NOT IN (SELECT {D.text_key('text')} FROM benchmark UNION ALL SELECT {D.text_key('text')} FROM documents WHERE source = 'src0')",
 )
 def _(spark, sf):
-    listed = views.table(spark, sf, "benchmark").select(text_key("text").alias("question_key")).distinct()
+    # No whole document is a benchmark item, so one source is held for an evaluation set as well.
+    held = views.table(spark, sf, "documents").where("source = 'src0'").select("text")
+    texts = views.table(spark, sf, "benchmark").select("text").unionByName(held)
+    listed = texts.select(text_key("text").alias("question_key")).distinct()
     keyed = documents(spark, sf).select("doc_id", text_key("text").alias("question_key"))
     found = lookup(keyed, listed.withColumn("hit", F.lit(True)), "question_key", "doc_id")
     return found.where(F.col("hit").isNull()).select("doc_id")
@@ -328,11 +333,19 @@ def summary_select(dataset: str, listed: tuple[str, ...], funnel: str) -> str:
     )
 
 
+def with_texts(numbers: str, texts: dict[str, str]) -> str:
+    """The summary's numbers, and its texts as rows of their own."""
+    rows = " UNION ALL ".join(f"SELECT 'facts', '{k}', CAST(NULL AS BIGINT), '{v}'" for k, v in texts.items())
+    return f"SELECT section, metric, value, CAST(NULL AS VARCHAR) AS text FROM ({numbers}) UNION ALL {rows}"
+
+
+CORPUS_FACTS = {"dataset": "corpus", "split": "train"}
+BENCHMARK_FACTS = {"source_root": "benchmark", "tables_file": "tables.json", "train_file": "train.json"}
 CORPUS_SUMMARY = D.with_(
     *D.CORPUS_STEPS,
     CORPUS_PROFILE,
     D.split_step("deduped", OPTIONS),
-    select=summary_select("corpus", ("example_id", *CORPUS_TEXT.split(", ")), FUNNEL_ROWS),
+    select=with_texts(summary_select("corpus", ("example_id", *CORPUS_TEXT.split(", ")), FUNNEL_ROWS), CORPUS_FACTS),
 )
 
 
@@ -348,6 +361,7 @@ def _(spark, sf):
         profiles.curate_funnel(classified, filters.CORPUS_REASONS),
         jobs.sample_and_split(ids, ids),
         OPTIONS.seed,
+        CORPUS_FACTS,
     )
 
 
@@ -357,13 +371,13 @@ def _(spark, sf):
         *D.EXAMPLE_STEPS,
         EXAMPLES_PROFILE,
         D.split_step("prepared", BENCHMARK),
-        select=summary_select("benchmark", ("example_id", *EXAMPLE_COLUMNS), PREPARE_ROWS),
+        select=with_texts(summary_select("benchmark", ("example_id", *EXAMPLE_COLUMNS), PREPARE_ROWS), {"dataset": "benchmark", **BENCHMARK_FACTS}),
     ),
 )
 def _(spark, sf):
     out = scratch_path(spark, "prepared")
     return jobs.run_prepare(
-        spread(views.examples(spark, sf), "example_id"), views.raw_catalog(spark, sf), out, BENCHMARK
+        spread(views.examples(spark, sf), "example_id"), views.raw_catalog(spark, sf), out, BENCHMARK, facts=BENCHMARK_FACTS
     )
 
 

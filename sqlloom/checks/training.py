@@ -23,7 +23,8 @@ from sqlloom.sources.spread import spread
 PROMPT = PromptOptions()
 REASONED = replace(PROMPT, include_explanation=True)
 TOKENS = TokenOptions()
-BATCHES = TokenOptions(max_seq_length=190, batch_size=4, length_bucket=16)
+# Inside the range of prompt and chat lengths: rows are kept whole, cut and skipped.
+BATCHES = TokenOptions(max_seq_length=95, batch_size=4, length_bucket=16)
 
 ROWS = (
     f"rows AS (SELECT example_id, {D.ws('sql_prompt')} AS sql_prompt, coalesce(schema_ddl, '') AS schema_ddl,"
@@ -126,10 +127,7 @@ def _(spark, sf):
     rows = jobs.prepared_rows(
         jobs.classify_examples(views.examples(spark, sf), views.raw_catalog(spark, sf))
     )
-    asked = messages.prompt_messages(
-        F.col("sql_prompt"), F.col("schema_ddl"), PROMPT, PROMPT.inference_format
-    )
-    return rows.select("example_id", messages.render_chat(asked, True).alias("prompt"))
+    return jobs.inference_prompts(rows)
 
 
 def as_string(name: str):
@@ -140,21 +138,21 @@ def as_text(values: str) -> str:
     return f"CAST({values} AS VARCHAR)"
 
 
-@check("k1_tokens", D.with_(*ROW_STEPS, D.supervision_steps(TOKENS), select=f"SELECT example_id, {as_text('full_ids')} AS full_ids, prompt_len FROM sup"))
+@check("k1_tokens", D.with_(*ROW_STEPS, D.supervision_steps(BATCHES), select=f"SELECT example_id, {as_text('full_ids')} AS full_ids, prompt_len FROM sup"))
 def _(spark, sf):
-    rows = supervision.tokenize(chat_rows(spark, sf), "messages", TOKENS)
+    rows = supervision.tokenize(chat_rows(spark, sf), "messages", BATCHES)
     return rows.select("example_id", as_string("full_ids"), F.col("prompt_len").cast("bigint").alias("prompt_len"))
 
 
 @check(
     "k1_documents",
-    f"SELECT doc_id, len(p) AS n_pieces, {as_text(D.piece_ids('list_slice(p, 1, 2048)'))} AS ids FROM (SELECT doc_id, {D.pieces('text')} AS p FROM documents)",
+    f"SELECT doc_id, len(p) AS n_pieces, {as_text(D.piece_ids('p'))} AS ids FROM (SELECT doc_id, {D.pieces('text')} AS p FROM documents)",
 )
 def _(spark, sf):
     return documents(spark, sf).select(
         "doc_id",
         F.size(tokens.pieces(F.col("text"))).cast("bigint").alias("n_pieces"),
-        tokens.hashed(F.col("text"), 2048).cast("string").alias("ids"),
+        tokens.hashed(F.col("text")).cast("string").alias("ids"),
     )
 
 
@@ -236,9 +234,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     both = spread(views.responses(spark, sf), "example_id")
-    return answers.exact_match(
-        both.select("example_id", "response"), both.select("example_id", "gold_sql", "grp"), "example_id", ["grp"]
-    )
+    return jobs.score_responses(both.select("example_id", "response"), both.select("example_id", "gold_sql", "grp"), ["grp"])
 
 
 @check("w1_jsonl", D.with_(D.view("corpus"), select="SELECT example_id, sql_prompt, sql_context, sql, sql_explanation FROM corpus"))
@@ -277,6 +273,7 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("section", T.StringType()),
         T.StructField("metric", T.StringType()),
         T.StructField("value", T.LongType()),
+        T.StructField("text", T.StringType()),
     ]
 )
 
@@ -320,3 +317,39 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return batch_output(curated_batches(spark, sf))
+
+
+SAMPLED = replace(OPTIONS, sample_size=500)
+
+
+@check(
+    "m1_curate_sampled",
+    D.with_(
+        *D.CORPUS_STEPS,
+        f"sampled AS (SELECT * FROM deduped ORDER BY {D.order_key('example_id', SAMPLED.seed, 'sample')}, CAST(example_id AS VARCHAR) LIMIT {SAMPLED.sample_size})",
+        D.split_step("sampled", SAMPLED),
+        select=f"SELECT {CURATED}, split FROM labelled",
+    ),
+)
+def _(spark, sf):
+    rows = jobs.curated_rows(views.corpus(spark, sf), views.blocklist(spark, sf), SAMPLED)
+    return rows.select(*CURATED.split(", "), "split")
+
+
+@check(
+    "m3_run_supervision",
+    D.with_(
+        *PREPARE_STEPS,
+        "rows AS (SELECT * FROM labelled WHERE split = 'train')",
+        D.supervision_steps(BATCHES),
+        select="SELECT 'train' AS part, count(*) AS rows FROM kept UNION ALL SELECT 'eval', count(*) FROM kept"
+        " WHERE example_id IN (SELECT example_id FROM rows ORDER BY example_id LIMIT 8)",
+    ),
+)
+def _(spark, sf):
+    """From files; the validation file isn't there, so the first rows of train stand in."""
+    out = scratch_path(spark, "supervision")
+    rows = jobs.prepared_splits(views.examples(spark, sf), views.raw_catalog(spark, sf), BENCHMARK)
+    sinks.write_jsonl(rows.where("split = 'train'").select("example_id", "messages"), f"{out}/train")
+    options = replace(OPTIONS, tokens=BATCHES)
+    return jobs.run_supervision_files(spark, f"{out}/train", f"{out}/validation", f"{out}/batches", options)

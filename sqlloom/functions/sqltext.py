@@ -6,6 +6,8 @@ recursing, so a script of any length cannot exhaust the task's stack.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from sqlloom.functions.text import WS, normalize_whitespace, strip, text_or_empty
@@ -30,6 +32,7 @@ TOKEN = "|".join(
         r"[xX]'[0-9A-Fa-f]*+'",  # blob
         rf"[A-Za-z_{WIDE}][A-Za-z0-9_${WIDE}]*+",  # word
         r"[(),;*+%]",
+        r"0[xX][0-9A-Fa-f]++",  # hexadecimal number
         r"(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?",  # number
         r"'(?:[^']++|'')*+'?",  # string
         r'"(?:[^"]++|"")*+"?',  # quoted names
@@ -55,6 +58,18 @@ KEYWORDS = tuple(
     """.split()
 )
 
+# Keywords that SQLite also takes as names. Each is one only in its clause.
+CLAUSE_WORDS = ("ASC", "BY", "DESC", "END", "FILTER", "IF", "KEY", "NULLS", "OFFSET", "PARTITION", "RECURSIVE", "ROWS", "VIEW")
+
+# After one of these a name or an expression begins, so ASC, DESC and END can't stand there.
+OPENERS = (
+    "", "(", ",", ".", "SELECT", "DISTINCT", "WHERE", "AND", "OR", "NOT", "ON", "BY", "SET", "FROM",
+    "JOIN", "TABLE", "HAVING", "=", "<", ">", "<=", ">=", "<>", "!=", "+", "-", "*", "/", "||",
+)
+
+# How many column names a named subquery may list for its name to be told from a call.
+LISTED_COLUMNS = 12
+
 NEVER_CALLED = tuple(word for word in KEYWORDS if word != "CAST")
 
 # A sign right after one of these belongs to the number or name behind it.
@@ -110,33 +125,65 @@ def canonical_sql(c: Column | str) -> Column:
     fixed spacing, literals and quoted names untouched, no semicolon."""
     tokens = sql_tokens(c)
     # Made once: the tests below use each list several times.
-    keywords, not_called, names, signed = (
-        [F.lit(word) for word in words] for words in (KEYWORDS, NEVER_CALLED, NAME_CONTEXT, BEFORE_UNARY)
+    always = tuple(word for word in KEYWORDS if word not in CLAUSE_WORDS)
+    keywords, sometimes, not_called, names, signed, openers = (
+        [F.lit(word) for word in words]
+        for words in (always, CLAUSE_WORDS, NEVER_CALLED, NAME_CONTEXT, BEFORE_UNARY, OPENERS)
     )
 
-    def is_call(token: Column, upper: Column, prev_upper: Column, following: Column) -> Column:
+    def at(i: Column) -> Column:
+        # get() gives null outside the array; the empty string keeps the tests two-valued.
+        return F.coalesce(F.get(tokens_col, i), F.lit(""))
+
+    def names_subquery(i: Column) -> Column:
+        """The word at i is a further named subquery with a column list: name (a, b) AS (."""
+        ends = [
+            (at(i + 2 * k + 1) == ")") & (F.upper(at(i + 2 * k + 2)) == "AS") & (at(i + 2 * k + 3) == "(")
+            for k in range(1, LISTED_COLUMNS + 1)
+        ]
+        return (at(i - 1) == ",") & reduce(Column.__or__, ends)
+
+    def is_call(i: Column, token: Column, upper: Column, prev_upper: Column, following: Column) -> Column:
         return (
             (following == "(")
             & token.rlike(r"^[A-Za-z_]")
             & ~upper.isin(*not_called)
             & ~prev_upper.isin(*names)
+            & ~names_subquery(i)
+        )
+
+    def in_its_clause(upper: Column, prev: Column, following: Column) -> Column:
+        value = r"^[0-9?:@$]"
+        return (
+            F.when(upper == "KEY", prev.isin("PRIMARY", "FOREIGN"))
+            .when(upper == "VIEW", prev.isin("CREATE", "TEMP", "TEMPORARY", "DROP"))
+            .when(upper == "BY", prev.isin("GROUP", "ORDER", "PARTITION"))
+            .when(upper == "FILTER", (prev == ")") & (following == "("))
+            .when(upper == "IF", following.isin("NOT", "EXISTS"))
+            .when(upper == "NULLS", following.isin("FIRST", "LAST"))
+            .when(upper == "PARTITION", following == "BY")
+            .when(upper == "RECURSIVE", prev == "WITH")
+            .when(upper == "ROWS", following.isin("BETWEEN", "UNBOUNDED", "CURRENT") | following.rlike(value))
+            .when(upper == "OFFSET", (prev.rlike(value) | (prev == ")")) & (following.rlike(value) | following.isin("(", "-")))
+            .otherwise(~prev.isin(*openers))
         )
 
     def render(token: Column, i: Column) -> Column:
-        # get() gives null outside the array; the empty string keeps the tests two-valued. The
-        # body runs once per token, so words and other tokens take the tests they need only.
-        prev = F.coalesce(F.get(tokens_col, i - 1), F.lit(""))
-        prev2 = F.upper(F.coalesce(F.get(tokens_col, i - 2), F.lit("")))
-        following = F.coalesce(F.get(tokens_col, i + 1), F.lit(""))
+        # The body runs once per token, so words and other tokens take the tests they need only.
+        prev, prev2, following = at(i - 1), F.upper(at(i - 2)), at(i + 1)
         upper = F.upper(token)
         glued = prev.isin("", "(", ".", "-", "+") & (
             prev.isin("", "(", ".") | (~token.isin("-", "+") & prev2.isin(*signed))
         )
         blank = F.when(glued, F.lit("")).otherwise(F.lit(" "))
+        keyword = upper.isin(*keywords) | (
+            upper.isin(*sometimes) & in_its_clause(upper, F.upper(prev), F.upper(following))
+        )
+        # Behind a dot there are only names.
         word = F.when(
-            upper.isin(*keywords) | is_call(token, upper, F.upper(prev), following), upper
+            (prev != ".") & (keyword | is_call(i, token, upper, F.upper(prev), following)), upper
         ).otherwise(token)
-        opens_call = (token == "(") & is_call(prev, F.upper(prev), prev2, token)
+        opens_call = (token == "(") & is_call(i - 1, prev, F.upper(prev), prev2, token)
         tight = token.isin(")", ",", ".") | glued | opens_call
         other = (
             F.when(token == "!=", F.lit("<>"))

@@ -32,9 +32,10 @@ def piece_id(piece: Column) -> Column:
     return F.conv(F.substring(F.md5(piece), 1, 7), 16, 10).cast("int") + F.lit(1)
 
 
-def hashed(text: Column, max_length: int) -> Column:
-    """Built-in encoder: token ids of the first max_length pieces."""
-    return F.transform(F.slice(pieces(text), 1, max_length), piece_id)
+def hashed(text: Column, max_length: int | None = None) -> Column:
+    """Built-in encoder: token ids of the first max_length pieces, of all without a limit."""
+    found = pieces(text)
+    return F.transform(found if max_length is None else F.slice(found, 1, max_length), piece_id)
 
 
 def plugged(make_encoder: Callable[[], Callable[[list[str]], list[list[int]]]]) -> Encoder:

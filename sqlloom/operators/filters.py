@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -66,19 +67,31 @@ def is_read_only(sql: Column, options: FilterOptions) -> Column:
 
 
 def dialect_pattern(patterns: tuple[str, ...]) -> str:
-    """One pattern for all; a leading word edge is tested once for those that share it."""
+    """One pattern for all those without groups of their own; a leading word edge is tested once
+    for those that share it and have no alternatives."""
     edge = r"\b"
-    after_edge = [f"(?:{p.removeprefix(edge)})" for p in patterns if p.startswith(edge)]
-    anywhere = [f"(?:{p})" for p in patterns if not p.startswith(edge)]
-    if after_edge:
-        anywhere.insert(0, f"{edge}(?:{'|'.join(after_edge)})")
+    shares = [p for p in patterns if p.startswith(edge) and "|" not in p]
+    anywhere = [f"(?:{p})" for p in patterns if p not in shares]
+    if shares:
+        after_edge = "|".join(f"(?:{p.removeprefix(edge)})" for p in shares)
+        anywhere.insert(0, f"{edge}(?:{after_edge})")
     return f"(?iU)(?:{'|'.join(anywhere)})"
 
 
+def numbers_groups(pattern: str) -> bool:
+    """Whether joining the pattern with others could change what its groups are called."""
+    return bool(re.search(r"\\[1-9]|\\k<|\(\?P?<[A-Za-z]|\(\?[a-zA-Z]+[-:)]", pattern))
+
+
 def has_blocked_dialect(sql: Column, options: FilterOptions) -> Column:
     if not options.blocked_dialect_patterns:
         return F.lit(False)
-    return sql.rlike(dialect_pattern(options.blocked_dialect_patterns))
+    patterns = options.blocked_dialect_patterns
+    apart = [p for p in patterns if numbers_groups(p)]
+    joined = tuple(p for p in patterns if p not in apart)
+    tests = [sql.rlike(dialect_pattern(joined))] if joined else []
+    tests += [sql.rlike(f"(?iU){p}") for p in apart]
+    return reduce(Column.__or__, tests)
 
 
 def cheap_rules(

@@ -141,8 +141,10 @@ def run_summary(
     funnel: DataFrame,
     curated: DataFrame,
     seed: int,
+    texts: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Everything about one run as (section, metric, value)."""
+    """Everything about one run as (section, metric, value, text): numbers have a value, the facts in
+    ``texts`` a text."""
     sizes = split_sizes(curated)
     fixed = [("seed", "seed", F.lit(int(seed)))]
     fixed += [("columns", c, F.lit(i)) for i, c in enumerate(columns)]
@@ -156,10 +158,14 @@ def run_summary(
     before = F.when(F.col("name").isNull(), F.col("metric")).otherwise(
         F.concat_ws("/", "metric", "name")
     )
-    return (
+    told = F.array(
+        *(F.struct(F.lit("facts").alias("section"), F.lit(k).alias("metric"), F.lit(None).cast("bigint").alias("value"), F.lit(v).alias("text")) for k, v in (texts or {}).items())
+    )
+    numbers = (
         profile.select(F.lit("profile_before").alias("section"), before.alias("metric"), F.col("n").alias("value"))
         .unionByName(funnel.select(F.lit("funnel").alias("section"), "metric", "value"))
         .unionByName(sizes.select(F.lit("split_sizes").alias("section"), "metric", "value"))
         .unionByName(total.select(F.lit("sample_size").alias("section"), F.lit(dataset).alias("metric"), "value"))
         .unionByName(total.select(F.explode(facts).alias("f")).select("f.*"))
-    )
+    ).withColumn("text", F.lit(None).cast("string"))
+    return numbers.unionByName(total.select(F.explode(told).alias("f")).select("f.*")) if texts else numbers

@@ -1,13 +1,15 @@
 """The three jobs: curate a corpus, prepare a benchmark source, build supervision tables.
 
-``classify_*``, ``curated_rows`` and friends only compose expressions. ``run_*`` writes: it ends
-lineage at Parquet tables in the shared scratch folder, so counters, splits and sinks read a
-finished table instead of repeating the work above it.
+``screen`` and ``with_messages`` only compose expressions. All else may write: lookups are written
+and measured where the plan is built, and ``run_*`` ends lineage at Parquet tables in the shared
+scratch folder, so counters, splits and sinks read a finished table instead of repeating the work
+above it. ``run_*`` deletes the tables of its run when it is done; plans that are handed back still
+read theirs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sqlloom.functions import tokens
 from sqlloom.functions.sqltext import (
@@ -21,17 +23,20 @@ from sqlloom.functions.validity import valid_sqlite
 from sqlloom.operators import filters, profiles, ranking, supervision
 from sqlloom.operators.catalog import attach_schema, normalize_catalog, rendered_schemas
 from sqlloom.operators.dedupe import dedupe_digest, keep_first
+from sqlloom.operators.joins import fits_broadcast, measured_size
 from sqlloom.operators.leaks import flag_leaks
-from sqlloom.operators.messages import training_messages
+from sqlloom.operators.answers import exact_match
+from sqlloom.operators.messages import prompt_messages, render_chat, training_messages
 from sqlloom.options import CurateOptions, TokenOptions
 from sqlloom.sources.contracts import require_columns
-from sqlloom.sources.readers import read_json_lines
-from sqlloom.sources.scratch import materialize
+from sqlloom.sources.readers import MESSAGES, load_split_files, read_json_lines
+from sqlloom.sources.scratch import materialize, run_scratch
 from sqlloom.sources.spread import spread
 from sqlloom.sources.sinks import write_splits, write_summary
 
 ORDINAL = "example_id"
 
+# The output tables' column names.
 CURATED_COLUMNS = (
     "domain",
     "domain_description",
@@ -148,6 +153,16 @@ def with_messages(rows: DataFrame, options: CurateOptions = CurateOptions()) ->
     )
 
 
+def labelled_rows(
+    classified: DataFrame, ids: DataFrame, options: CurateOptions = CurateOptions()
+) -> DataFrame:
+    """The surviving rows that are sampled, with their split. Sample and split are decided on the
+    ids; the wide rows meet the labelled ids in one join, without a shuffle when those are few."""
+    labels = materialize(sample_and_split(ids, ids, options).select(ORDINAL, "split"), "labels")
+    side = F.broadcast(labels) if fits_broadcast(*measured_size(labels), options.joins) else labels.hint("shuffle_hash")
+    return classified.join(side, ORDINAL).select(ORDINAL, *CURATED_COLUMNS, "split")
+
+
 def sample_and_split(
     rows: DataFrame, ids: DataFrame, options: CurateOptions = CurateOptions()
 ) -> DataFrame:
@@ -165,7 +180,7 @@ def curated_rows(
     """Curated corpus with split and messages."""
     classified = materialize(classify_corpus(source, blocklist, options), "classified")
     ids = materialize(deduped_ids(classified), "ids")
-    return with_messages(sample_and_split(deduped_rows(classified), ids, options), options)
+    return with_messages(labelled_rows(classified, ids, options), options)
 
 
 def run_curate(
@@ -174,12 +189,20 @@ def run_curate(
     blocklist: DataFrame | None = None,
     options: CurateOptions = CurateOptions(),
     dataset: str = "corpus",
+    split: str = "train",
+) -> DataFrame:
+    """Curate ``source``, a split of a dataset, into ``out``: splits as JSON lines, and summary.
+    Gives the summary as written."""
+    with run_scratch(source.sparkSession, "curate"):
+        return _run_curate(source, out, blocklist, options, dataset, split)
+
+
+def _run_curate(
+    source: DataFrame, out: str, blocklist: DataFrame | None, options: CurateOptions, dataset: str, split: str
 ) -> DataFrame:
-    """Curate ``source`` into ``out``: splits as JSON lines, and summary. Gives the summary as
-    written."""
     classified = materialize(classify_corpus(source, blocklist, options), "classified")
     ids = materialize(deduped_ids(classified), "ids")
-    labelled = sample_and_split(deduped_rows(classified), ids, options)
+    labelled = labelled_rows(classified, ids, options)
     write_splits(with_messages(labelled, options), f"{out}/all_cleaned")
     summary = profiles.run_summary(
         dataset,
@@ -188,6 +211,7 @@ def run_curate(
         profiles.curate_funnel(classified, filters.CORPUS_REASONS),
         sample_and_split(ids, ids, options),
         options.seed,
+        {"dataset": dataset, "split": split},
     )
     write_summary(summary, f"{out}/summary")
     return read_json_lines(summary.sparkSession, f"{out}/summary", summary.schema)
@@ -243,8 +267,17 @@ def run_prepare(
     out: str,
     options: CurateOptions = CurateOptions(),
     dataset: str = "benchmark",
+    facts: dict[str, str] | None = None,
+) -> DataFrame:
+    """Prepare a benchmark source into ``out``. ``facts`` are texts for the summary, such as the
+    source's root and file names. Gives the summary as written."""
+    with run_scratch(examples.sparkSession, "prepare"):
+        return _run_prepare(examples, catalog, out, options, dataset, facts or {})
+
+
+def _run_prepare(
+    examples: DataFrame, catalog: DataFrame, out: str, options: CurateOptions, dataset: str, facts: dict[str, str]
 ) -> DataFrame:
-    """Prepare a benchmark source into ``out``. Gives the summary as written."""
     classified = materialize(classify_examples(examples, catalog, options), "classified")
     kept = prepared_rows(classified)
     labelled = ranking.split(kept, ORDINAL, options.ratios, options.seed)
@@ -256,6 +289,7 @@ def run_prepare(
         profiles.prepare_funnel(classified),
         labelled,
         options.seed,
+        {"dataset": dataset, **facts},
     )
     write_summary(summary, f"{out}/summary")
     return read_json_lines(summary.sparkSession, f"{out}/summary", summary.schema)
@@ -319,9 +353,36 @@ def run_supervision(
     counts = []
     for part, rows in (("train", train), ("eval", evaluation)):
         path = f"{out}/{part}"
-        padded_batches(rows, options.seed, options.tokens, encoder).write.parquet(path)
+        with run_scratch(spark, "supervision"):
+            padded_batches(rows, options.seed, options.tokens, encoder).write.parquet(path)
         written = spark.read.parquet(path)
         counts.append(written.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(part).alias("part"), "rows"))
     return counts[0].unionByName(counts[1])
 
 
+def run_supervision_files(
+    spark: SparkSession,
+    train: str,
+    validation: str | None,
+    out: str,
+    options: CurateOptions = CurateOptions(),
+    encoder: tokens.Encoder | None = None,
+) -> DataFrame:
+    """``run_supervision`` over JSON lines with messages; a validation file that isn't there is
+    replaced by the first rows of train."""
+    schema = T.StructType([T.StructField(ORDINAL, T.LongType()), T.StructField("messages", MESSAGES)])
+    tables = load_split_files(spark, train, validation, schema, ORDINAL)
+    return run_supervision(*tables, out, options, encoder)
+
+
+def inference_prompts(rows: DataFrame, options: CurateOptions = CurateOptions()) -> DataFrame:
+    """(example_id, prompt): what a model is asked for rows with sql_prompt and schema_ddl, in the
+    options' inference format."""
+    asked = prompt_messages(F.col("sql_prompt"), F.col("schema_ddl"), options.prompt, options.prompt.inference_format)
+    return rows.select(ORDINAL, render_chat(asked, True).alias("prompt"))
+
+
+def score_responses(responses: DataFrame, gold: DataFrame, groups: list[str]) -> DataFrame:
+    """Exact-match rate by group of decoded responses (example_id, response) against ``gold``
+    (example_id, gold_sql and the groups)."""
+    return exact_match(responses, gold, ORDINAL, groups)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# The source's column names.
 REQUIRED_COLUMNS = (
     "domain",
     "domain_description",
@@ -20,14 +21,14 @@ def require_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS)
     """Fail before any job runs. Extra columns are fine."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Dataset schema changed. Missing columns: {missing}")
+        raise ValueError(f"The source lacks required columns: {missing}")
     wrong = sorted(
         f.name
         for f in df.schema.fields
         if f.name in required and not isinstance(f.dataType, T.StringType)
     )
     if wrong:
-        raise ValueError(f"Dataset schema changed. Columns that are not strings: {wrong}")
+        raise ValueError(f"Required columns have another type than string: {wrong}")
     return df
 
 

@@ -9,6 +9,7 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+# The sources' column names.
 CORPUS = _strings(
     "domain",
     "domain_description",
@@ -63,13 +64,13 @@ def read_dataset(
     return df.where(F.col("split") == split).drop("split")
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """A file holding one JSON array. Such a file cannot be cut, so each is one task; large
     sources should come as JSON lines or Parquet."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
@@ -78,10 +79,17 @@ def read_examples(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     return reader(spark, path, EXAMPLES)
 
 
-def read_catalog(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Raw catalog objects with their position in the file as ``ordinal``."""
+def read_catalog(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
+    """Raw catalog objects with their place in the source as ``ordinal``: files by path, then the
+    block of the file, then the row in the task that reads the block. Which files Spark puts into
+    one task has no say in it."""
     reader = read_json_lines if lines else read_json_array
-    return reader(spark, path, CATALOG).withColumn("ordinal", F.monotonically_increasing_id())
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return reader(spark, paths, CATALOG).withColumn("ordinal", place)
 
 
 def read_blocklist(spark: SparkSession, path: str | None, lines: bool = False) -> DataFrame:
@@ -100,3 +108,24 @@ def load_splits(
     return train, train.orderBy(ordinal).limit(fallback)
 
 
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, so it may be any that Spark can read."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name))
+
+
+def load_split_files(
+    spark: SparkSession,
+    train: str,
+    validation: str | None,
+    schema: T.StructType,
+    ordinal: str = "example_id",
+    fallback: int = 8,
+) -> tuple[DataFrame, DataFrame]:
+    """Train and evaluation tables from JSON lines. The validation file counts only if it exists;
+    without it the first rows of train stand in."""
+    there = validation is not None and path_exists(spark, validation)
+    table = read_json_lines(spark, validation, schema) if there else None
+    return load_splits(read_json_lines(spark, train, schema), table, ordinal, fallback)

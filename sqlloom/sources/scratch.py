@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-_written: list[str] = []
+# The folder of the run that is going on in this context, if any.
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 _private_roots: list[str] = []
 
 
@@ -27,7 +31,20 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/sqlloom/{label}-{uuid.uuid4().hex}"
+    return f"{_run.get() or scratch_root(spark) + '/sqlloom'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """Tables written inside go to a folder of this run, which is deleted at the end, whether or not
+    the run succeeds. What is handed out must not read them. Other runs' tables are left alone."""
+    path = scratch_path(spark, label)
+    token = _run.set(path)
+    try:
+        yield path
+    finally:
+        _run.reset(token)
+        delete_path(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -36,7 +53,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -72,13 +88,3 @@ class RunScratch:
 def delete_path(spark: SparkSession, name: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
-
-
-def discard_scratch(spark: SparkSession) -> int:
-    """Delete the tables this process has written here, once nothing reads them any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    count = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        count += bool(path.getFileSystem(conf).delete(path, True))
-    return count

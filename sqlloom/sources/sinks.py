@@ -39,5 +39,5 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType, split: str)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """(section, metric, value) rows."""
+    """(section, metric, value, text) rows."""
     _json_writer(summary).json(path)

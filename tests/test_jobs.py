@@ -137,10 +137,10 @@ def test_run_supervision_counts(spark, sf, tmp_path):
 
 def test_contract(spark):
     df = spark.createDataFrame([("a", "b")], "sql string, domain string")
-    with pytest.raises(ValueError, match="Missing columns: \\['domain_description', 'sql_complexity'"):
+    with pytest.raises(ValueError, match="lacks required columns: \\['domain_description', 'sql_complexity'"):
         contracts.require_columns(df)
     wrong = spark.createDataFrame([(1,)], "sql int")
-    with pytest.raises(ValueError, match="not strings: \\['sql'\\]"):
+    with pytest.raises(ValueError, match="another type than string: \\['sql'\\]"):
         contracts.require_columns(wrong, ("sql",))
     report = {r.name: (r.present, r.non_null_rows) for r in contracts.contract_report(df).collect()}
     assert report["sql"] == (True, 1) and report["sql_prompt"] == (False, 0)
@@ -211,11 +211,55 @@ def test_scratch_without_a_named_folder(monkeypatch):
     assert scratch.scratch_root(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/c/"})) == "hdfs://x/c"
 
 
-def test_discard_scratch(spark):
-    written = scratch.materialize(spark.range(5), "gone")
-    path = written.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
-    assert os.path.isdir(path) and scratch.discard_scratch(spark) >= 1
-    assert not os.path.exists(path) and scratch.discard_scratch(spark) == 0
+def test_runs_delete_their_own_tables_only(spark, sf, tmp_path):
+    other = scratch.materialize(spark.range(5), "other-run")
+    root = scratch.scratch_root(spark).removeprefix("file://") + "/sqlloom"
+    before = set(os.listdir(root))
+    jobs.run_curate(views.corpus(spark, sf), str(tmp_path / "c"), views.blocklist(spark, sf), smoke_run())
+    jobs.run_prepare(views.examples(spark, sf), views.raw_catalog(spark, sf), str(tmp_path / "p"), benchmark_run())
+    chat = jobs.with_messages(spark.createDataFrame([(1, "q", "s", "SELECT 1", None)], "example_id long, sql_prompt string, schema_ddl string, sql string, sql_explanation string"))
+    assert jobs.run_supervision(chat, chat, str(tmp_path / "s")).count() == 2
+    assert set(os.listdir(root)) == before and other.count() == 5
+
+
+def test_a_failed_run_leaves_nothing(spark, sf, tmp_path):
+    root = scratch.scratch_root(spark).removeprefix("file://") + "/sqlloom"
+    before = set(os.listdir(root))
+    (tmp_path / "all_cleaned").mkdir()
+    with pytest.raises(Exception, match="already exists"):
+        jobs.run_curate(views.corpus(spark, sf), str(tmp_path), None, smoke_run())
+    assert set(os.listdir(root)) == before
+
+
+def test_missing_validation_file(spark, sf, tmp_path):
+    rows = jobs.prepared_splits(views.examples(spark, sf), views.raw_catalog(spark, sf), benchmark_run())
+    train, val = str(tmp_path / "train"), str(tmp_path / "val")
+    sinks.write_jsonl(rows.where("split = 'train'").select("example_id", "messages"), train)
+    sinks.write_jsonl(rows.where("split = 'val'").select("example_id", "messages"), val)
+    sizes = [{r.part: r.rows for r in jobs.run_supervision_files(spark, train, v, str(tmp_path / f"out{i}"), benchmark_run()).collect()} for i, v in enumerate((val, str(tmp_path / "none"), None))]
+    n = rows.groupBy("split").count().collect()
+    n = {r.split: r["count"] for r in n}
+    assert sizes[0] == {"train": n["train"], "eval": n["val"]}
+    assert sizes[1] == sizes[2] == {"train": n["train"], "eval": 8}
+
+
+def test_sample_needs_no_shuffle_of_wide_rows(spark, sf):
+    rows = jobs.curated_rows(views.corpus(spark, sf), None, five_thousand_run())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_catalog_files_in_order_of_their_paths(spark, tmp_path):
+    def entry(table, n):
+        return "".join(json.dumps({"db_id": "d" if i == n - 1 else f"x{i}", "table_names_original": [table], "column_names_original": [[-1, "*"], [0, "c"]], "column_types": ["text", "text"], "primary_keys": [], "foreign_keys": []}) + "\n" for i in range(n))
+
+    (tmp_path / "a.json").write_text(entry("early", 1))
+    (tmp_path / "b.json").write_text(entry("late", 400))
+    from sqlloom.operators.catalog import normalize_catalog
+
+    for paths in (str(tmp_path), [str(tmp_path / "b.json"), str(tmp_path / "a.json")]):
+        rows = normalize_catalog(readers.read_catalog(spark, paths, lines=True)).where("db_id = 'd'").collect()
+        assert [r.tables for r in rows] == [["late"]]
 
 
 def test_spread_leaves_wide_scans_alone(spark, tmp_path):

@@ -82,7 +82,7 @@ def test_first_reason_wins(spark):
 
 def test_ratio_contract():
     SplitRatios(0.8, 0.2, 0.0)
-    with pytest.raises(ValueError, match="sum to 1.0"):
+    with pytest.raises(ValueError, match="1.0 is needed"):
         SplitRatios(0.8, 0.1, 0.2)
 
 
@@ -96,3 +96,17 @@ def test_only_living_sql_goes_to_python(spark, sf):
     screened = jobs.screen(views.corpus(spark, sf)).where("drop_reason LIKE 'drop_short%'")
     assert screened.where("sql IS NOT NULL OR sql_context IS NOT NULL OR domain IS NOT NULL").count() == 0
     assert screened.count() > 0
+
+
+def test_own_dialect_patterns_stay_as_they_are(spark):
+    import re
+    from dataclasses import replace
+
+    from sqlloom.options import FilterOptions
+
+    patterns = (r"\bfoo|::", r"(a)b\1", r"\bTOP\s+[0-9]+", r"(x)(y)\2", r"\bz(?:1|2)")
+    texts = ["x :: y", "aba", "abb", "select top 5", "xyy", "xyx", "food", "az1", "z2", "stop 5", "plain"]
+    options = replace(FilterOptions(), blocked_dialect_patterns=patterns)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.hit for r in df.select(filters.has_blocked_dialect(F.col("t"), options).alias("hit")).collect()]
+    assert got == [any(re.search(p, t, re.IGNORECASE) for p in patterns) for t in texts]

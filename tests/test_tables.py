@@ -2,12 +2,13 @@
 
 import math
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from sqlloom.operators import catalog, dedupe, leaks, profiles, ranking
-from sqlloom.operators.joins import fits_broadcast, lookup, measured_size, salt_of, salts_for
+from sqlloom.operators.joins import fits_broadcast, hot_keys, lookup, measured_size, salt_of
 from sqlloom.options import JoinOptions, SplitRatios
 
 LARGE = JoinOptions(broadcast_max_rows=0, broadcast_max_bytes=0, salts=8)
@@ -29,14 +30,39 @@ def test_lookup_small_and_large_agree(spark, hot):
     assert Counter(r.v is None for r in small)[True] == hot.where("key = 'k7'").count()
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_lookup_spreads_a_hot_key(spark, hot):
-    table = hot.select("key").distinct().withColumn("v", F.lit(1))
-    joined = lookup(hot, table, "key", "id", LARGE)
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "pmod(xxhash64(id" in plan
-    salted = hot.where("key = 'hot'").select(salt_of("key", "id", LARGE.salts).alias("salt"))
-    sizes = [r["count"] for r in salted.groupBy("salt").count().collect()]
+    few = replace(LARGE, hot_share=0.1)
+    assert [r.key for r in hot_keys(hot, "key", few).collect()] == ["hot"]
+    is_hot = F.col("key") == "hot"
+    salted = hot.select("key", salt_of("key", "id", LARGE.salts, is_hot).alias("salt"))
+    sizes = [r["count"] for r in salted.where(is_hot).groupBy("salt").count().collect()]
     assert len(sizes) == LARGE.salts and max(sizes) < 2 * 10_000 / LARGE.salts
+    assert salted.where(~is_hot).select("salt").distinct().count() == 1
+    table = hot.select("key").distinct().withColumn("v", F.length("key"))
+    got = lookup(hot, table, "key", "id", few)
+    assert got.where("v = length(key)").count() == got.count() == 30_000
+
+
+def test_large_lookup_is_never_broadcast(spark, hot):
+    """A table that is large by its rows but small in its files."""
+    table = hot.select("key").distinct().withColumn("v", F.repeat(F.lit("x"), 50_000))
+    plan = plan_of(lookup(hot, table, "key", "id", JoinOptions(broadcast_max_bytes=1 << 20)))
+    joins = [x for x in plan.splitlines() if "Join" in x and "__salt" in x]
+    assert joins and all("ShuffledHashJoin" in x for x in joins)
+
+
+def test_leak_flags_by_a_large_list_move_wide_rows_once(spark):
+    rows = spark.range(3_000).selectExpr("id", "concat('q', id % 700) AS q", "concat('select ', id % 900) AS s", "repeat('w', 50) AS wide")
+    listed = spark.range(50).selectExpr("concat('q', id) AS question", "CAST(NULL AS STRING) AS prompt", "concat('select ', id + 100) AS sql", "CAST(NULL AS STRING) AS query")
+    flags = [leaks.flag_leaks(rows, listed, F.col("q"), F.col("s"), "id", o) for o in (JoinOptions(), LARGE)]
+    exchanges = [x for x in plan_of(flags[1]).splitlines() if "Exchange" in x]
+    small, large = (sorted(map(tuple, f.collect())) for f in flags)
+    assert small == large and sum(r[-1] for r in small) == sum(i % 700 < 50 or 100 <= i % 900 < 150 for i in range(3_000))
+    assert sum("hashpartitioning(id" in x for x in exchanges) <= 2  # the rows, and the ids found
 
 
 def test_large_lookup_spreads_rows_without_a_key(spark, hot):
@@ -44,7 +70,7 @@ def test_large_lookup_spreads_rows_without_a_key(spark, hot):
     table = hot.select("key").distinct().withColumn("v", F.lit(1))
     joined = lookup(gaps, table, "key", "id", LARGE)
     assert joined.count() == 30_000 and joined.where("v IS NULL").count() == 10_000
-    lost = gaps.where("key IS NULL").withColumn("salt", salt_of("key", "id", LARGE.salts))
+    lost = gaps.where("key IS NULL").withColumn("salt", salt_of("key", "id", LARGE.salts, F.lit(False)))
     per_task = lost.repartition(50, "key", "salt").groupBy(F.spark_partition_id()).count()
     sizes = [r["count"] for r in per_task.collect()]
     assert len(sizes) == 50 and max(sizes) < 2 * 10_000 / 50
@@ -60,10 +86,6 @@ def test_size_check_counts_rows_and_bytes(spark):
     assert measured_size(df.where("k = 'z'")) == (0, 0)
 
 
-def test_copies_shrink_with_the_table():
-    assert [salts_for(size, JoinOptions()) for size in (0, 1 << 30, 1 << 36, 1 << 42)] == [64, 64, 16, 4]
-
-
 def test_keep_first_hot_key(spark, hot):
     first = dedupe.keep_first(hot.repartition(16, "id"), ["key"], "id")
     # One row per key and task goes into the shuffle.

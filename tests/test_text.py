@@ -123,6 +123,59 @@ def test_canonical_sql_is_stable_and_still_parses(spark):
     assert all(compiles(checker, s) for s in statements + once)
 
 
+def test_canonical_sql_keeps_the_program(spark):
+    """SQLite compiles source and canonical form to the same program."""
+    import random
+    import sqlite3
+
+    con = sqlite3.connect(":memory:")
+    con.execute("create table t (id integer, key text, view int, filter int, rows int, offset int, desc int, end int, a int, b text)")
+    con.execute("create table u (id integer, key text, x int)")
+    rnd = random.Random(5)
+    names = ["key", "view", "t.filter", "rows", "t.offset", "a", "B", "T.Key", "id", "t.end", "t.Desc"]
+    values = ["0x1F", "0XaB", "1e3", ".5", "'it''s; -- x'", "-1", "- 2", "?1", ":p", "x'0a'", "NULL"]
+
+    def value(depth=0):
+        kind = rnd.random()
+        if depth > 2 or kind < 0.35:
+            return rnd.choice(names + values)
+        if kind < 0.6:
+            return f"({value(depth + 1)}{rnd.choice([' ', ''])}{rnd.choice(['+', '-', '*', '||', '==', '!=', '<=', ' and ', ' or ', ' is not '])} {value(depth + 1)})"
+        if kind < 0.7:
+            return f"{rnd.choice(['max', 'Coalesce', 'iif'])}( {value(depth + 1)},{value(depth + 1)},1)"
+        if kind < 0.8:
+            return f"case when {value(depth + 1)} then {value(depth + 1)} else 0 end"
+        if kind < 0.9:
+            return f"cast({value(depth + 1)} as integer)"
+        return f"{rnd.choice(names)} in(select x from u where u.key={value(depth + 1)})"
+
+    def query():
+        text = f"select {value()} , {value()} as c\nfrom t left join u on t.id=u.id where {value()}"
+        if rnd.random() < 0.4:
+            text += f" group by {rnd.choice(names)} having count(*)>{rnd.randint(0, 3)}"
+        if rnd.random() < 0.5:
+            text += f" order by {rnd.choice(['1', '2'])} {rnd.choice(['desc', 'asc', 'DESC nulls last'])} limit 5 offset {rnd.randint(0, 9)}"
+        if rnd.random() < 0.3:
+            text = f"with r(n) as (select 1), s(n,m) as (select 2,0x10) select * from r,s,({text.replace('?1', '3').replace(':p', '4')})"
+        return text
+
+    def program(sql):
+        return [row[:7] for row in con.execute("explain " + sql, {"1": 0, "p": 0} if ":p" in sql else ([0] if "?1" in sql else []))]
+
+    sources = []
+    while len(sources) < 250:
+        sql = query()
+        if ":p" in sql and "?1" in sql:
+            continue
+        try:
+            program(sql)
+        except sqlite3.Error:
+            continue
+        sources.append(sql)
+    made = evaluate(spark, sources, sqltext.canonical_sql("s"))
+    assert [m for s, m in zip(sources, made) if program(s) != program(m)] == []
+
+
 def test_long_texts_do_not_exhaust_the_stack(spark):
     texts = ["'" + "''" * 200_000, ";" * 100_000, "a;" * 50_000, "\\'" * 100_000, "/*" + "* " * 100_000, "(" * 100_000]
     assert evaluate(spark, texts, F.size(sqltext.split_statements("s")))[1:3] == [100_000, 50_000]
