@@ -261,7 +261,7 @@ TIGHT = TokenOptions(max_seq_length=95)
 CUSTOM = FilterOptions(blocked_dialect_patterns=(r"\bzz|\|", r"(q)", r"(ea|on)h\1"))
 
 
-@check("f5_dialect_custom", "SELECT doc_id, regexp_matches(text, '(?i)\bzz|\||q|eahea|onhon') AS flagged FROM documents")
+@check("f5_dialect_custom", r"SELECT doc_id, regexp_matches(text, '(?i)\bzz|\||q|eahea|onhon') AS flagged FROM documents")
 def _(spark, sf):
     return documents(spark, sf).select("doc_id", filters.has_blocked_dialect(F.col("text"), CUSTOM).alias("flagged"))
 

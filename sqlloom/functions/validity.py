@@ -14,12 +14,19 @@ from pyspark.sql import functions as F, types as T
 # Ship the functions themselves, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Parts of SQLite's messages. The last ones say that a text was not compiled at all: what
+# could not be judged does not count as valid.
 SYNTAX_FAILURES = (
     "syntax error",
     "incomplete input",
     "unrecognized token",
     "one statement at a time",
     "null character",
+    "stack overflow",
+    "too large",
+    "too many",
+    "too big",
+    "out of memory",
 )
 
 # Quoted runs and comments: semicolons in them do not end a statement.
@@ -43,7 +50,8 @@ def open_checker() -> sqlite3.Connection:
 
 
 def compiles(connection: sqlite3.Connection, sql: str) -> bool:
-    """True unless SQLite rejects the text as syntax. Unknown tables are fine; nothing runs."""
+    """True unless SQLite rejects the text as syntax or gives up on its size. Unknown tables are
+    fine; nothing runs."""
     if ";" in sql and ";" in _HIDDEN.sub(" ", sql).rstrip("; \t\r\n"):
         return False
     if _QUERY_PLAN.match(sql):

@@ -36,6 +36,26 @@ def test_matches_oracle(spark, sf, con, name):
     assert differences(df, con, sql) is None
 
 
+def test_checks_are_not_vacuous(spark, sf, con):
+    """Rules that keep, cut, drop or flag do each of it in the tables they are checked on."""
+    one = lambda sql: con.sql(sql).fetchall()[0]
+    queries = entry.queries()
+    total = one("SELECT count(*) FROM orders")[0]
+    assert 0 < queries["f10_skip_full_prompts"](spark, sf).count() < total
+    masks = queries["k2_label_mask"](spark, sf).groupBy("skip_example").count().count()
+    assert masks == 2
+    sizes = queries["k5_batch_plan"](spark, sf).selectExpr("max(length) AS longest", "min(length) AS least").first()
+    assert sizes.least < sizes.longest == 95
+    assert queries["line_comment_flag"](spark, sf).select("flagged").distinct().count() == 2
+    assert queries["f5_dialect_custom"](spark, sf).select("flagged").distinct().count() == 2
+    documents = one("SELECT count(*) FROM documents")[0]
+    assert queries["t5_split_documents"](spark, sf).count() > documents
+    held = one("SELECT count(*) FROM documents WHERE source = 'src0'")[0]
+    assert queries["j2_documents_benchmark"](spark, sf).count() <= documents - held < documents
+    changed = queries["t7_canonical_written"](spark, sf).where("canonical LIKE '%0x1F%' OR canonical LIKE '%t.key%'")
+    assert changed.count() > 0
+
+
 def test_entry_runs(spark):
     rows = {r.metric: r.value for r in entry.entry(spark).collect()}
     dropped = sum(v for k, v in rows.items() if k.startswith("drop_") and k != "drop_duplicate")

@@ -110,3 +110,10 @@ def test_own_dialect_patterns_stay_as_they_are(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.hit for r in df.select(filters.has_blocked_dialect(F.col("t"), options).alias("hit")).collect()]
     assert got == [any(re.search(p, t, re.IGNORECASE) for p in patterns) for t in texts]
+
+
+def test_what_sqlite_gives_up_on_is_not_valid():
+    checker = open_checker()
+    assert not compiles(checker, "SELECT " + "(" * 150 + "1" + ")" * 150)
+    assert not compiles(checker, "SELECT " + "+".join(["1"] * 1_500))
+    assert compiles(checker, "SELECT " + "+".join(["1"] * 100))
