@@ -130,9 +130,9 @@ def build(classes: DataFrame, scratch: RunScratch, threshold: float, leaf: int)
         done.append(members.join(split.select("node"), "node", "left_anti").select("class", "n", "vec", "node", "d"))
         level += 1
         opened = members.join(split, "node")
-        share = F.pmod(F.xxhash64("class"), F.col("size")) * leaf < F.lit(CANDIDATES * leaf)
-        sample = opened.where(share).select("node", "class", "vec")
-        # Of a node's members those with a hash below CANDIDATES / size; about CANDIDATES rows a group.
+        # About CANDIDATES members of each node by their hash, and its own center, so there is one.
+        drawn = F.pmod(F.xxhash64("class"), F.col("size")) < CANDIDATES
+        sample = opened.where(drawn | (F.col("class") == F.floor(F.col("node") / 64))).select("node", "class", "vec")
         centers = sample.groupBy("node").applyInPandas(_choose_centers(ROOT_RADIUS / 2**level), "node long, class long, vec binary")
         centers = scratch.write(centers, f"centers-{level}")
         nodes.append(scratch.write(centers.select((F.col("class") * 64 + level).alias("node"), F.col("node").alias("parent"), F.col("vec").alias("center")), f"nodes-{level}"))

@@ -492,3 +492,20 @@ def one_of_each(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     # Rows repeated as a whole: one of each.
     single = named(again, "left_semi", kept).dropDuplicates(["doc_id", "text"])
     return named(again, "left_anti", kept).unionByName(single)
+
+
+def oracle() -> str:
+    """near_duplicates over ``documents`` in DuckDB, by all pairs that share a shingle; for tables of
+    unique ids."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(words) >= {SHINGLE} THEN list_distinct(list_transform(range(1, len(words) - {SHINGLE - 2}), lambda i: array_to_string(words[i:i + {SHINGLE - 1}], ' ')))
+  WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE {SIMILAR.denominator} * shared >= {SIMILAR.numerator} * (a.n + b.n - shared)),
+l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(x, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.x, r.root FROM r JOIN l ON l.y = r.x),
+c AS (SELECT x, min(root) AS root FROM r GROUP BY x)
+SELECT c.x AS doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id FROM c LEFT JOIN n ON n.doc_id = c.x"""

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from compare import connect, differences
 from conftest_llm import ascii_lower
 
 from sqlloom.llm import jaccard_join as jj
@@ -112,6 +113,10 @@ def test_query_over_the_table(spark, sf):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in op7_jaccard_join(spark, sf).collect()) == expected(rows)
 
 
+def test_query_matches_oracle(spark, sf):
+    assert differences(op7_jaccard_join(spark, sf), connect(sf), jj.oracle()) is None
+
+
 def test_bitmaps_never_exceed_the_distance():
     rng = np.random.default_rng(3)
     for _ in range(300):
