@@ -137,7 +137,8 @@ def arrow_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 3 << 20):
     """The batch in runs of rows whose texts hold about ``limit`` bytes, so working memory is bounded
-    by that and the longest single text."""
+    by that and the longest single text. Memory the last batch has left goes back to the system."""
+    pa.default_memory_pool().release_unused()
     sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), np.int64)
     start, total = 0, 0
     for i, size in enumerate(sizes):

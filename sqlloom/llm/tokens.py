@@ -10,7 +10,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words a worker keeps; beyond it the cache starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 450_000
 #: New words sent to the library in one text, parted by a special token.
 WORDS_A_CALL = 500
 
