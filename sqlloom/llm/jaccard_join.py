@@ -455,8 +455,11 @@ def rooted(docs: DataFrame, scratch: RunScratch) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = rooted(docs, RunScratch(docs.sparkSession, "jaccard"))
-    names = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("name"))
+    scratch = RunScratch(docs.sparkSession, "jaccard")
+    rows = rooted(docs, scratch)
+    # Written, so that the join has a shuffle of its own on both sides and Spark can split a large
+    # component's rows over tasks.
+    names = scratch.write(rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("name")), "names")
     return rows.join(names, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id")
     )
@@ -474,7 +477,7 @@ def one_of_each(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     no_id = F.col("doc_id").isNull().alias("no_id")
     key = F.struct(no_id, "doc_id", "text_md5")
     counted = rows.groupBy("root", "doc_id", "text_md5").agg(F.count(F.lit(1)).alias("copies"))
-    stays = rows.groupBy("root").agg(F.min(key).alias("stays"))
+    stays = scratch.write(rows.groupBy("root").agg(F.min(key).alias("stays")), "stays")  # see near_duplicates
     judged = counted.join(stays, "root").select("doc_id", "text_md5", "copies", (F.col("stays") == key).alias("first"))
     judged = scratch.write(judged, "judged")
 
