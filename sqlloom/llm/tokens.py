@@ -9,8 +9,9 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words a worker keeps; beyond it the cache starts anew.
-CACHED_WORDS = 450_000
+#: Words in a generation of the cache. A full generation becomes the old one, the old one goes, and words
+#: that are met again move on; so what is frequent stays.
+CACHED_WORDS = 350_000
 #: New words sent to the library in one text, parted by a special token.
 WORDS_A_CALL = 500
 
@@ -53,15 +54,18 @@ class WordEncoder:
         special = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.mark_id = next(((t.content, i) for i, t in special.items() if t.special), ("", -1))
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Raw ids of each text; null counts as empty."""
         words = [self._lowered(text).replace("\n", " ").split(" ") if text else [] for text in texts]
-        cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        new = set()
+        if len(self.cache) > CACHED_WORDS:
+            self.old, self.cache = self.cache, {}
+        cache, old, new = self.cache, self.old, set()
         for word in set().union(*words).difference(cache):
+            if word in old:
+                cache[word] = old[word]
+                continue
             stem, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
             if stem.isalpha() and (stem.isascii() or unicodedata.is_normalized("NFC", stem)) and stem == stem.lower():
                 cache[word] = self._piece(stem) + self._piece(tail) if tail else self._piece(stem)
@@ -88,6 +92,8 @@ class WordEncoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token, by the library's model over its bytes."""
+        if piece in self.old:
+            return self.old[piece]
         if piece not in self.cache:
             shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTES_SHOWN)
             ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
