@@ -65,6 +65,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: Objects of this worker with a cache (and ``forget``) that only some operators use. Workers are shared
+#: by all, so the others give that memory back.
+caches: list = []
+
+
 class Words:
     """Words of a batch of texts as arrays: ``start``/``end`` byte positions, ``doc`` index, ``hash``.
 
@@ -73,6 +78,8 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, separator: np.ndarray):
+        for cache in caches:
+            cache.forget()
         texts = texts.cast(pa.large_string()).fill_null("")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         low = int(offsets[0]) if len(offsets) else 0

@@ -48,7 +48,9 @@ BANDS_TO_JOIN = 3  # bands in which a class must meet its pivot
 SEEN_LOCALLY = 3
 SEEN = 48
 FREQUENT = 1 << 20
-LOCAL = 1_500_000  # shingles counted at a time in a task
+LOCAL = 1_000_000  # shingles counted at a time in a task
+
+PIECE_BYTES = 2 << 20  # text hashed at a time
 
 RING = 10  # rings of distance 0.1
 BLOCK_SHINGLES = 1 << 17
@@ -109,7 +111,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 prints = [md5(t.as_py() or b"").digest() for t in part.column("text").cast(pa.binary())]
                 yield _sketch(part.column("doc_id"), prints, *shingle_sets(part.column("text")), shared.value)
 
@@ -206,7 +208,7 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> np.ndarray:
             pending.clear()
 
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 value = shingle_sets(part.column("text"))[1]
                 pending.append(value)
                 size += len(value)
@@ -256,7 +258,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, scratch: RunScratch, label: str,
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 owner, value = shingle_sets(part.column("text"))
                 size, first = _runs(owner, part.num_rows)
                 key_a, key_b = set_keys(owner, value, part.num_rows)

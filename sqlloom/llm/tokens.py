@@ -9,6 +9,8 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
+from sqlloom.llm.common import caches
+
 #: Words in a generation of the cache. A full generation becomes the old one, the old one goes, and words
 #: that are met again move on; so what is frequent stays.
 CACHED_WORDS = 350_000
@@ -53,6 +55,10 @@ class WordEncoder:
         self.dtype = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
         special = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.mark_id = next(((t.content, i) for i, t in special.items() if t.special), ("", -1))
+        caches.append(self)
+        self.forget()
+
+    def forget(self) -> None:
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
