@@ -1,24 +1,22 @@
-"""Benchmark decontamination: edit-similar windows by CGK embedding and bit-sampling LSH.
-
-Texts and items are sequences of words. The CGK embedding walks over a sequence and writes one
-symbol a step; a random bit of (step, symbol) says whether the walk moves on. Walks over sequences
-with few edits fall into step again, so edit distance becomes Hamming distance of what they write.
-A key is the symbols at some sampled steps; windows and items with an equal key are candidates. There
-are ``WALKS`` walks with ``KEYS`` keys each, for classes of item sizes; the number is chosen so that
-a window with edits in a tenth of its words is found with a probability over 0.99 (measured in the
-tests). Each candidate is verified exactly: the least word edit distance between the item and any
-stretch of the text around the window; a text is contaminated where that is at most ``EDITS`` of the
-item's words.
-
-Every window of every text is considered. One is left out only when it provably has too few of the
-items' words: the words of the items are kept as a bit table, and of the first words of a window all
-but the allowed edits must be in it.
+"""Benchmark decontamination: edit-similar stretches by the intact pieces of an item.
+
+Texts and items are sequences of words. Of an item's words at most ``EDITS`` may be edited. The item
+is cut into more disjoint pieces of 1 to 4 words than it may have edits; an edit breaks one piece at
+most, so a stretch within the allowed edits holds at least the surplus of pieces unbroken, each within
+the allowed edits of its place. Texts are searched for the pieces by hash, and the places of an item's
+pieces are counted by diagonal. Nothing in reach is missed at any size (no sampling). Each candidate
+is verified exactly: the least word edit distance between the item and any stretch of the text around
+it; a text is contaminated where that is at most ``EDITS`` of the item's words. Items of fewer than
+five words have no edit to spare and match exactly.
+
+Stretches with fewer of the item's words than it must keep are left out before. A character of a
+script written without spaces is a word of its own.
 
 Items are broadcast in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes, one pass over
 the texts for each block; texts are never shuffled.
 
-Defined cases: null and empty texts match nothing; items without text, or of fewer than ``LEAST``
-words, are not searched for; equal items are all reported; repeated rows are all reported; among
+Defined cases: null and empty texts match nothing; items without text, or of a single word, are not
+searched for; equal items are all reported; repeated rows are all reported; among
 equally near stretches the first is reported; empty tables give no rows; other columns stay.
 """
 
@@ -33,16 +31,15 @@ from pyspark.sql import DataFrame, functions as F
 from sqlloom.llm.common import SYMBOLS, Words, arrow_batch, mix, pieces
 
 EDITS = 0.2
-LEAST = 5
-WALKS = 8
-KEYS = 6
-SAMPLED = 4  # steps in a key
-GROWTH = 1.3  # ratio of sizes in a class
-STEPS = 1.6  # steps of a walk for each word of a class's shortest item
+LEAST = 2  # one word is no passage
+PIECES = (4, 3, 2, 1)  # words in a piece; the longest is taken that gives a surplus of pieces
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
 VOCABULARY_BITS = 22
-FILTER_BITS = 20
+FILTER_BITS = 22
+HITS = 2 << 20  # places of pieces, and words of stretches, looked at together
+#: Code points of scripts written without spaces.
+UNSPACED = [(0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)]
 
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("distance", pa.int64()), ("similarity", pa.float64())])
 
@@ -52,6 +49,7 @@ class Sequences:
 
     def __init__(self, texts: pa.Array):
         words = Words(texts, SYMBOLS)
+        split_unspaced(words)
         counts = words.counts
         self.begin = np.cumsum(counts + 1) - counts - 1
         self.end = self.begin + counts
@@ -66,35 +64,64 @@ def allowed(n: np.ndarray) -> np.ndarray:
     return np.floor(n * EDITS + 1e-9).astype(np.int64)
 
 
-def walk(seq: Sequences, start: np.ndarray, steps: int, seed: int) -> np.ndarray:
-    """What the walks from the given places write: (steps, windows)."""
-    out = np.empty((steps, len(start)), np.uint64)
-    at, stop = start.copy(), seq.end[seq.doc[start]]
-    factors = mix(np.arange(steps, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 17)) | np.uint64(1)
-    for j in range(steps):
-        symbol = seq.symbols[at]
-        out[j] = symbol
-        at += ((symbol * factors[j]) >> np.uint64(63)).astype(np.int64)
-        np.minimum(at, stop, out=at)
-    return out
+def split_unspaced(words: Words) -> None:
+    """Make each character of an unspaced script a word of its own."""
+    raw = words.bytes
+    lead = np.flatnonzero(raw >= 0xE0)
+    if not len(lead):
+        return
+    size = np.where(raw[lead] >= 0xF0, 4, 3)
+    point = raw[lead].astype(np.int64) & np.where(size == 4, 0x07, 0x0F)
+    for j in (1, 2, 3):
+        more = size > j
+        point = np.where(more, (point << 6) | (raw[np.minimum(lead + j, len(raw) - 1)] & 0x3F), point)
+    alone = np.zeros(len(lead), bool)
+    for low, high in UNSPACED:
+        alone |= (point >= low) & (point <= high)
+    first, behind = lead[alone], lead[alone] + size[alone]
+    if len(first):
+        start = np.union1d(np.concatenate([words.start, first]), np.setdiff1d(behind, words.end))
+        words.end = np.union1d(np.concatenate([words.end, behind]), np.setdiff1d(first, words.start))
+        words.start = start
+        words.doc = np.searchsorted(words.bounds, start, "right") - 1
 
 
-def sampled_steps(steps: int, seed: int) -> np.ndarray:
-    rng = np.random.default_rng(seed)
-    return np.stack([np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(KEYS)])
+FACTORS = mix(np.arange(1, 1 + max(PIECES), dtype=np.uint64)) | np.uint64(1)
 
 
-def keys(written: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Keys (KEYS, windows) of the symbols at the chosen steps."""
-    out = np.zeros((len(chosen), written.shape[1]), np.uint64)
-    for t, steps in enumerate(chosen):
-        for j in steps:
-            out[t] = mix(out[t] ^ (written[j] + np.uint64(t + 1)))
-    return out
+def keys(symbols: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the ``size`` words from each of the places."""
+    out = np.zeros(len(places), np.uint64)
+    for j in range(size):
+        out += symbols[places + j] * FACTORS[j]
+    return mix(out)
+
+
+def expanded(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Ranges of n numbers from first, end to end."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def bounded(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs with a sum of at most ``limit``, or of one."""
+    sums = np.cumsum(sizes)
+    a = 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(sums, (sums[a - 1] if a else 0) + limit, "right")))
+        yield a, b
+        a = b
+
+
+def regions(item: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Number of the region of each stretch: stretches of one item that meet are one region. They are
+    sorted by item, text and place, and those of an item have one length but at a text's ends."""
+    new = np.ones(len(item), bool)
+    new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])
+    return np.cumsum(new) - 1
 
 
 class Index:
-    """A block of items by the keys of their walks."""
+    """A block of items by the hashes of their pieces."""
 
     def __init__(self, items: list[tuple[int, str]]):
         items = [(i, t) for i, t in items if t is not None]
@@ -104,75 +131,100 @@ class Index:
         self.null_id = np.array([items[i][0] is None for i in long], bool)
         self.words = [seq.symbols[seq.begin[i] : seq.end[i]] for i in long]
         self.sizes = seq.counts[long]
+        self.most = allowed(self.sizes)
+        self.need = np.zeros(len(long), np.int64)
         self.vocabulary = np.zeros(1 << VOCABULARY_BITS, bool)
-        for words in self.words:
+        self.members = np.zeros(1 << FILTER_BITS, bool)
+        for i, words in enumerate(self.words):
             self.vocabulary[words >> np.uint64(64 - VOCABULARY_BITS)] = True
-        self.classes = []
-        low = LEAST
-        while len(long) and low <= self.sizes.max():
-            high = max(low, int(low * GROWTH))
-            inside = np.flatnonzero((self.sizes >= low) & (self.sizes <= high))
-            if len(inside):
-                steps = max(SAMPLED, int(low * STEPS))
-                tables = []
-                for w in range(WALKS):
-                    chosen = sampled_steps(steps, low * 131 + w)
-                    made = keys(walk(seq, seq.begin[long[inside]], steps, low * 131 + w), chosen)
-                    for t in range(KEYS):
-                        order = np.argsort(made[t], kind="stable")
-                        tables.append((made[t][order], inside[order]))
-                bits = np.zeros(1 << FILTER_BITS, bool)
-                for sorted_keys, _ in tables:
-                    bits[sorted_keys >> np.uint64(64 - FILTER_BITS)] = True
-                self.classes.append((low, high, steps, tables, bits))
-            low = high + 1
-
-    def candidates(self, seq: Sequences) -> tuple[np.ndarray, np.ndarray]:
-        """(place, item) of windows and items with an equal key."""
+            self.members[self.member(words, np.full(len(words), i))] = True
+        self.tables = []
+        left = np.ones(len(long), bool)
+        for size in PIECES:
+            chosen = np.flatnonzero(left & (self.sizes // size > self.most))
+            left[chosen] = False
+            if not len(chosen):
+                continue
+            n = self.sizes[chosen] // size
+            self.need[chosen] = n - self.most[chosen]
+            item = np.repeat(chosen, n)
+            offset = expanded(np.zeros(len(n), np.int64), n) * size
+            made = keys(seq.symbols, seq.begin[long[item]] + offset, size)
+            order = np.argsort(made, kind="stable")
+            bits = np.zeros(1 << FILTER_BITS, bool)
+            bits[made >> np.uint64(64 - FILTER_BITS)] = True
+            self.tables.append((size, made[order], item[order], offset[order], bits))
+
+    @staticmethod
+    def member(symbols: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Place in the bit table of words of items."""
+        return mix(symbols + mix(items.astype(np.uint64) + np.uint64(1))) >> np.uint64(64 - FILTER_BITS)
+
+    def hits(self, seq: Sequences) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, text, diagonal) of pieces found in the texts; all those of an item in a text together."""
         known = self.vocabulary[seq.symbols >> np.uint64(64 - VOCABULARY_BITS)]
         known[seq.end] = False
         sums = np.concatenate([[0], np.cumsum(known)])
-        places, items = [], []
-        every = np.arange(len(seq.symbols))
-        stop = seq.end[seq.doc]
-        for low, high, steps, tables, bits in self.classes:
-            need = low - int(allowed(np.array(high)))
-            enough = sums[np.minimum(every + low, stop)] - sums[every] >= need
-            start = np.flatnonzero(enough & (every < stop))
-            for a in range(0, len(start), 200_000):
-                part = start[a : a + 200_000]
-                for w in range(WALKS):
-                    made = keys(walk(seq, part, steps, low * 131 + w), sampled_steps(steps, low * 131 + w))
-                    for t in range(KEYS):
-                        sorted_keys, of = tables[w * KEYS + t]
-                        maybe = np.flatnonzero(bits[made[t] >> np.uint64(64 - FILTER_BITS)])
-                        first = np.searchsorted(sorted_keys, made[t][maybe], "left")
-                        n = np.searchsorted(sorted_keys, made[t][maybe], "right") - first
-                        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        places.append(np.repeat(part[maybe], n))
-                        items.append(of[at])
-        if not places:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate(places), np.concatenate(items)]), axis=1)
-        return pairs[0], pairs[1]
+        for size, made, items, offsets, bits in self.tables:
+            places = np.flatnonzero(sums[size:] - sums[:-size] == size)
+            found = keys(seq.symbols, places, size)
+            maybe = bits[found >> np.uint64(64 - FILTER_BITS)]
+            places, found = places[maybe], found[maybe]
+            first = np.searchsorted(made, found, "left")
+            n = np.searchsorted(made, found, "right") - first
+            places, first, n = places[n > 0], first[n > 0], n[n > 0]
+            if not len(places):
+                continue
+            docs = seq.doc[places]
+            edges = np.flatnonzero(np.diff(docs, prepend=-1))
+            for a, b in bounded(np.add.reduceat(n, edges), HITS):
+                a, b = edges[a], edges[b] if b < len(edges) else len(places)
+                # A single text with more is looked at for some of the items at a time.
+                turns = -(-int(n[a:b].sum()) // HITS)
+                for turn in range(turns):
+                    parts = []
+                    for c, d in bounded(n[a:b], HITS):
+                        some = slice(a + c, a + d)
+                        at = expanded(first[some], n[some])
+                        place, doc = np.repeat(places[some], n[some]), np.repeat(docs[some], n[some])
+                        mine = items[at] % turns == turn
+                        at = at[mine]
+                        parts.append((items[at], doc[mine], place[mine] - offsets[at]))
+                    yield tuple(np.concatenate(x) for x in zip(*parts))
+
+    def candidates(self, seq: Sequences) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, low, high): the stretches that may hold an item."""
+        for item, doc, diagonal in self.hits(seq):
+            order = np.lexsort((diagonal, doc, item))
+            item, doc, diagonal = item[order], doc[order], diagonal[order]
+            last = np.arange(len(item)) + self.need[item] - 1
+            there = np.minimum(last, len(item) - 1)
+            ok = (last < len(item)) & (item[there] == item) & (doc[there] == doc) & (diagonal[there] <= diagonal + 2 * self.most[item])
+            ok[1:] &= ~(ok[:-1] & (item[1:] == item[:-1]) & (doc[1:] == doc[:-1]) & (diagonal[1:] == diagonal[:-1]))
+            item, doc, diagonal = item[ok], doc[ok], diagonal[ok]
+            k = self.most[item]
+            low = np.maximum(seq.begin[doc], diagonal - k)
+            high = np.minimum(seq.end[doc], diagonal + self.sizes[item] + 2 * k)
+            keep = np.zeros(len(item), bool)
+            for a, b in bounded(high - low, HITS):
+                region = regions(item[a:b], doc[a:b], low[a:b], high[a:b])
+                edge = np.flatnonzero(np.diff(region, prepend=-1))
+                start = low[a:b][edge]
+                n = np.maximum.reduceat(high[a:b], edge) - start
+                words = seq.symbols[expanded(start, n)]
+                sums = np.concatenate([[0], np.cumsum(self.members[self.member(words, np.repeat(item[a:b][edge], n))])])
+                shift = (np.cumsum(n) - n - start)[region]
+                keep[a:b] = sums[high[a:b] + shift] - sums[low[a:b] + shift] >= self.sizes[item[a:b]] - k[a:b]
+            item, doc, low, high = item[keep], doc[keep], low[keep], high[keep]
+            if len(item):
+                edge = np.flatnonzero(np.diff(regions(item, doc, low, high), prepend=-1))
+                yield from zip(doc[edge].tolist(), item[edge].tolist(), low[edge].tolist(), np.maximum.reduceat(high, edge).tolist())
 
     def matches(self, seq: Sequences) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, words, distance): the nearest stretch of each item in each text."""
-        places, items = self.candidates(seq)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        order = np.lexsort((places, items))
-        places, items = places[order], items[order]
-        covered = (-1, -1, -1)  # text, item and last place looked at
-        for place, item in zip(places.tolist(), items.tolist()):
-            doc, k = int(seq.doc[place]), int(allowed(self.sizes[item]))
-            size = int(self.sizes[item])
-            if covered[:2] == (doc, item) and place <= covered[2]:
-                continue
-            # Places up to a window's slack further on are looked at together.
-            low = max(int(seq.begin[doc]), place - k)
-            high = min(int(seq.end[doc]), place + 2 * (size + k))
-            covered = (doc, item, place + size)
-            found = nearest(self.words[item], seq.symbols[low:high], k)
+        for doc, item, low, high in self.candidates(seq):
+            found = nearest(self.words[item], seq.symbols[low:high], int(self.most[item]))
             if found is not None:
                 distance, a, b = found
                 entry = (distance, low + a - int(seq.begin[doc]), b - a)

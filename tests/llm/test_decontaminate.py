@@ -66,6 +66,45 @@ def test_recall_of_edited_windows(share, recall):
     assert trials > 150 and found / trials >= recall
 
 
+@pytest.mark.parametrize("size", [5, 9, 15, 59, 150, 300, 600, 1200])
+@pytest.mark.parametrize("share", [0.1, 0.2])
+def test_nothing_in_reach_is_missed_at_any_size(size, share):
+    rnd = random.Random(size)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    items = [" ".join(rnd.choices(vocabulary, k=size)) for _ in range(10)]
+    index = dc.Index(list(enumerate(items)))
+    for i, item in enumerate(items):
+        w = edited(item, int(size * share + 1e-9), rnd)
+        text = " ".join(rnd.choices(vocabulary, k=40)) + " " + w + " " + " ".join(rnd.choices(vocabulary, k=40))
+        found = {m[1]: m[4] for m in index.matches(dc.Sequences(pa.array([text])))}
+        assert found.get(i) == (edit_table(item.split(), text.split()))
+
+
+def test_matches_by_brute_force():
+    """Few different words, so that pieces and items overlap and repeat."""
+    rnd = random.Random(5)
+    for _ in range(150):
+        items = [" ".join(rnd.choices("abc", k=rnd.randint(2, 24))) for _ in range(4)]
+        texts = [" ".join(rnd.choices("abcd", k=rnd.randint(0, 60))) for _ in range(4)]
+        got = {(d, i): n for d, i, _, _, n in dc.Index(list(enumerate(items))).matches(dc.Sequences(pa.array(texts)))}
+        tables = {(d, i): edit_table(y.split(), x.split()) for d, x in enumerate(texts) for i, y in enumerate(items)}
+        assert got == {(d, i): n for (d, i), n in tables.items() if n <= dc.allowed(np.array(len(items[i].split())))}
+
+
+def test_many_places_of_pieces_are_taken_in_turns(monkeypatch):
+    items, texts = ["a b c d", "a a a a a a", "d c b a x"], ["a b c d " * 40, "a " * 60, "d c b y a x"]
+    whole = dc.Index(list(enumerate(items))).matches(dc.Sequences(pa.array(texts)))
+    monkeypatch.setattr(dc, "HITS", 7)
+    assert dc.Index(list(enumerate(items))).matches(dc.Sequences(pa.array(texts))) == whole and len(whole) >= 3
+
+
+def test_short_items_and_scripts_without_spaces():
+    index = dc.Index([(0, "Paris, France"), (1, "the mitral valve prolapse"), (2, "请问下列哪一项是正确的答案"), (3, "日本の首都はどこですか")])
+    texts = ["in paris france now", "paris in france", "a mitral valve prolapse", "x the Mitral valve prolapse.", "前文请问下列哪个是正确的答案。后文", "これは日本の首都はどこですか"]
+    got = {(d, i, n) for d, i, _, _, n in index.matches(dc.Sequences(pa.array(texts)))}
+    assert got == {(0, 0, 0), (3, 1, 0), (4, 2, 2), (5, 3, 0)}
+
+
 def test_edge_rows(spark, edge_docs, edge_rows):
     items = [(1, "see the general public license under license"), (2, None), (None, " ".join(f"word{i}x" for i in range(100, 140))), (3, "one"), (4, ""), (1, "another text under the same id")]
     df = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id", "2 AS n")
