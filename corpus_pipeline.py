@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over the documents table, each written and reread by the next.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows it is given. The first four return the
-columns of ``docs`` with the rows they keep; the last returns pieces of packed sequences.
+columns of ``docs`` with the rows they keep; the last returns pieces of packed sequences with their ids.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: pieces of token sequences, similar documents side by side."""
+    """Packing: pieces of token sequences and their ids, similar documents side by side."""
     return curve_packing.pack(docs, TOKENIZER)
 
 
@@ -59,9 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``: each result is written as Parquet and reread."""
+    """All stages over ``documents``: each result is written as Parquet and reread. The written packing
+    has the ids of each piece; the rows returned have their digest."""
     docs = table(spark, sf_dir, "documents")
     scratch = RunScratch(spark, "pipeline")
     for name, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir), name)
-    return docs
+    return docs.select(*curve_packing.DIGEST)

@@ -16,7 +16,6 @@ columns are left alone.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +31,10 @@ CAPACITY = 4096
 DIMENSIONS = 4
 BITS = 8  # per dimension
 ENCODED = pa.schema([("doc_id", pa.int64()), ("curve_key", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
-PIECE = pa.schema(
-    [(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "curve_key")]
-)
+PIECE = pa.schema([*((c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "curve_key")), ("ids", pa.binary())])
+#: What the registered queries return: the ids by their digest.
+DIGEST = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "curve_key"]
+PIECE_BYTES = 4 << 20  # of ids in a batch of pieces
 
 
 def projection(vocabulary: int, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -102,7 +102,9 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
-    """One row a piece: which ids of which document lie where in which sequence."""
+    """One row a piece: which ids of which document lie where in which sequence. ``ids`` are those of the
+    piece, in 4 bytes each, the least first; ``ids_crc32`` is their digest. A sequence is its pieces'
+    ids in the order of ``offset``."""
     scratch = RunScratch(docs.sparkSession, "packing")
     # The row number is fixed once it is written.
     rows = scratch.write(encoded(docs, tokenizer, end_id).withColumn("row", F.monotonically_increasing_id()), "encoded")
@@ -112,14 +114,19 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPAC
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(tokenizer).dtype
         for batch in batches:
-            out = {name: [] for name in PIECE.names}
+            out, size = {name: [] for name in PIECE.names}, 0
             for doc, key, at, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "curve_key", "at", "ids"))):
                 ids = np.frombuffer(raw, dtype).astype("<u4")
                 edges = [0, *range(capacity - at % capacity, len(ids), capacity), len(ids)]
                 for a, b in zip(edges, edges[1:]):
-                    values = (doc, a, b - a, zlib.crc32(ids[a:b].tobytes()), len(ids), (at + a) // capacity, (at + a) % capacity, key)
+                    values = (doc, a, b - a, len(ids), (at + a) // capacity, (at + a) % capacity, key, ids[a:b].tobytes())
                     for name, value in zip(PIECE.names, values):
                         out[name].append(value)
+                    size += 4 * (b - a)
+                    if size >= PIECE_BYTES:
+                        yield arrow_batch(PIECE, **out)
+                        out, size = {name: [] for name in PIECE.names}, 0
             yield arrow_batch(PIECE, **out)
 
-    return found.mapInArrow(cut, ", ".join(f"{c} long" for c in PIECE.names))
+    pieces_of = found.mapInArrow(cut, ", ".join(f"{c} {'binary' if c == 'ids' else 'long'}" for c in PIECE.names))
+    return pieces_of.withColumn("ids_crc32", F.crc32("ids")).select(*DIGEST, "ids")

@@ -33,7 +33,7 @@ def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curve_packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
+    return curve_packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2).select(*curve_packing.DIGEST)
 
 
 def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

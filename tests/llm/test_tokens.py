@@ -2,7 +2,9 @@ import random
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from sqlloom.llm import binary_index, curve_packing
@@ -103,6 +105,31 @@ def test_packing(edge_docs, edge_rows):
     check_packing(edge_rows, curve_packing.pack(edge_docs, TOKENIZER, capacity=16).collect(), 16)
 
 
+@pytest.mark.parametrize("capacity", [4096, 16])
+def test_sequences_are_made_of_the_ids_of_their_pieces(edge_docs, edge_rows, capacity, monkeypatch):
+    monkeypatch.setattr(curve_packing, "PIECE_BYTES", 256)
+    pieces = curve_packing.pack(edge_docs, TOKENIZER, capacity=capacity).collect()
+    stream = []
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        ids = np.frombuffer(p.ids, "<u4")
+        assert len(ids) == p.length and zlib.crc32(p.ids) == p.ids_crc32
+        assert len(stream) == p.sequence_id * capacity + p.offset
+        stream += ids.tolist()
+    texts, text = [], []
+    for i in stream:
+        text.append(i)
+        if i == 2 and len(text) in {len(ids_of(r[1], 2)) for r in edge_rows} and any(text == ids_of(r[1], 2).tolist() for r in edge_rows):
+            texts.append(tuple(text))
+            text = []
+    assert not text and sorted(texts) == sorted(tuple(ids_of(r[1], 2).tolist()) for r in edge_rows)
+
+
+def test_the_last_stage_keeps_the_ids(spark, sf, edge_docs):
+    pieces = corpus_pipeline.STAGES[-1][1](spark, edge_docs, sf)
+    assert dict(pieces.dtypes)["ids"] == "binary" and "ids" not in op5_curve_packing(spark, sf).columns
+    assert all(len(p.ids) == 4 * p.length for p in pieces.collect())
+
+
 def test_hilbert_curve_visits_every_cell_once_in_single_steps():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = curve_packing.hilbert(grid, 3)
