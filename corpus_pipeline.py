@@ -15,12 +15,14 @@ from sqlloom.sources.scratch import RunScratch
 
 #: A document goes if it has no language, or none that this share of its words takes.
 LANGUAGE_SHARE = 0.3
+#: Or if its words fit every learned language so much worse than those of learned documents do.
+LANGUAGE_FIT = -12.0
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents whose words have a language."""
-    labelled = language_crf.label(docs, language_crf.learn(docs), "__lang", "__share")
-    rejected = (F.col("__lang") == language_crf.UNDETERMINED) | (F.col("__share") < LANGUAGE_SHARE)
+    """Language ID: documents whose words have a language, and are of a learned one."""
+    labelled = language_crf.label(docs, language_crf.learn(docs), "__lang", "__share", "__fit")
+    rejected = (F.col("__lang") == language_crf.UNDETERMINED) | (F.col("__share") < LANGUAGE_SHARE) | (F.col("__fit") < LANGUAGE_FIT)
     return labelled.where(~rejected).select(*docs.columns)
 
 

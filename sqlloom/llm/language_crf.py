@@ -7,6 +7,10 @@ learned by maximum likelihood; forward-backward gives each word's probabilities
 runs of another language inside a text are told apart. A document's language is the one with the
 largest sum of word probabilities, its score their mean.
 
+The score only says which learned language is nearest. How well a text fits any of them is told by
+``label(fit=...)``: its words' mean log share of their n-grams in the best language of each word, in
+standard deviations from that of learned documents with as many words.
+
 Learning takes a bounded sample: per language the ``SAMPLE`` documents with the smallest hash of
 their id among those in a learning fold, with a language, and of at most ``SAMPLE_BYTES`` bytes. All
 rows and whole texts are labelled, in chains, so a long text needs no long recursion.
@@ -37,6 +41,7 @@ CHAINS_A_STEP = 256
 RATE = 0.05
 DECAY = 1e-6
 LEXICON_SMOOTHING = 0.5
+GRAM_SMOOTHING = 0.05
 
 #: Everything in ASCII but letters parts words; A-Z are lower-cased before.
 NO_LETTERS = separators([(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
@@ -51,6 +56,59 @@ class Crf:
     transitions: np.ndarray  # from x to
     lexicon: np.ndarray  # hashed words x languages
     trust: np.ndarray  # weight of the lexicon by language
+    familiar: Familiar | None = None
+
+
+@dataclass
+class Familiar:
+    """Log shares of n-grams by language, and how texts of the sample spread around their mean."""
+
+    shares: np.ndarray  # features x languages
+    mean: float
+    between: float  # variance of texts
+    within: float  # variance of the words of a text
+
+    def words(self, words: Words) -> np.ndarray:
+        """Mean log share of each word's n-grams, in the language where it is highest."""
+        values, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        owner, feature = word_features(words, words.start[first], words.end[first])
+        n = np.maximum(np.bincount(owner, minlength=len(values)), 1)
+        best = np.full(len(values), -np.inf)
+        for k in range(self.shares.shape[1]):
+            best = np.maximum(best, np.bincount(owner, self.shares[feature, k], len(values)) / n)
+        return best[back]
+
+    def texts(self, words: Words) -> np.ndarray:
+        """Standard deviations of each text from the mean; 0 without words."""
+        n = np.maximum(words.counts, 1)
+        means = np.bincount(words.doc, self.words(words), len(n)) / n
+        return np.where(words.counts > 0, (means - self.mean) / np.sqrt(self.between + self.within / n), 0.0)
+
+
+def familiar(texts: list[str], labels: list[str]) -> Familiar | None:
+    """Shares from all texts; their spread from half of them, by the shares of the other half."""
+    languages = sorted(set(labels))
+
+    def shares(some: slice) -> np.ndarray:
+        words = Words(pa.array(texts[some], pa.string()), NO_LETTERS)
+        of = np.searchsorted(languages, labels[some])
+        counts = np.full((1 << FEATURE_BITS, len(languages)), GRAM_SMOOTHING)
+        owner, feature = word_features(words, words.start, words.end)
+        np.add.at(counts, (feature, of[words.doc[owner]]), 1.0)
+        return np.log(counts / counts.sum(0))
+
+    if len(texts) < 4:
+        return None
+    half = Familiar(shares(slice(0, None, 2)), 0.0, 0.0, 0.0)
+    words = Words(pa.array(texts[1::2], pa.string()), NO_LETTERS)
+    value, n = half.words(words), words.counts
+    if (n > 0).sum() < 2:
+        return None
+    means = np.bincount(words.doc, value, len(n)) / np.maximum(n, 1)
+    within = float(((value - means[words.doc]) ** 2).mean())
+    means, n = means[n > 0], n[n > 0]
+    between = max(float(means.var() - (within / n).mean()), 1e-4)
+    return Familiar(shares(slice(None)), float(means.mean()), between, within)
 
 
 def _bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
@@ -198,7 +256,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTE
     first = Window.partitionBy("lang").orderBy("key", "text")
     rows = keyed.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample)
     got = sorted((r["lang"], r["key"], r["text"]) for r in rows.select("lang", "key", "text").collect())
-    return fit([r[2] for r in got], [r[0] for r in got])
+    texts, labels = [r[2] for r in got], [r[0] for r in got]
+    model = fit(texts, labels)
+    model.familiar = familiar(texts, labels)
+    return model
 
 
 def label_batch(model: Crf, texts: pa.Array) -> tuple[list[str], np.ndarray, Words, np.ndarray]:
@@ -224,17 +285,21 @@ def label_batch(model: Crf, texts: pa.Array) -> tuple[list[str], np.ndarray, Wor
     return names, scores, words, probability
 
 
-def label(docs: DataFrame, model: Crf, name: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the language and score of every row's whole text."""
+def label(docs: DataFrame, model: Crf, name: str = "lang_pred", score: str = "score", fit: str | None = None) -> DataFrame:
+    """``docs`` with the language and score of every row's whole text and, if named, its fit."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size a language
-    columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType()), T.StructField(score, T.DoubleType())])
+    columns = [*docs.columns, name, score, *([fit] if fit else [])]
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType()), *(T.StructField(c, T.DoubleType()) for c in (score, fit) if c)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             for part in pieces(batch, "text"):
-                names, scores, _, _ = label_batch(shared.value, part.column("text"))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*columns, name, score])
+                names, scores, words, _ = label_batch(model, part.column("text"))
+                made = [pa.array(names, pa.string()), pa.array(scores)]
+                if fit:
+                    made.append(pa.array(model.familiar.texts(words) if model.familiar else np.zeros(part.num_rows)))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=columns)
 
     return docs.mapInArrow(run, schema)
 

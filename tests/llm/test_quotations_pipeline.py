@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -121,6 +122,22 @@ def test_stages_over_the_table(spark, tmp_path):
     assert Counter(map(tuple, corpus_pipeline.run(spark, sf).drop("sequence_id", "offset").collect())) == Counter((p.doc_id, p.start, p.length, p.ids_crc32, p.doc_tokens, p.curve_key) for p in pieces)
 
 
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej deklaracji bez względu na różnice rasy.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+]
+
+
+def test_foreign_and_random_texts_go_and_clean_ones_stay(spark):
+    sf, rnd = "/root/testdata/sf0.001", random.Random(3)
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    junk = [" ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 10))) for _ in range(60)) for _ in range(20)]
+    planted = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(FOREIGN + junk)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.keep_languages(spark, docs.unionByName(planted), sf).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+
+
 def test_edge_rows_through_all_stages(spark, tmp_path, edge_docs, edge_rows):
     """Nulls, empty texts, repeated rows and clashing names pass; what goes goes for a reason."""
     for table_name in ("labels", "benchmark"):
