@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, pu_quality, quotations, sharding
+from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, line_dedup, pu_quality, quotations, sharding
 from sqlloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,10 +57,16 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op8_quotations, op9_sharding, op10_pu_quality)}
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedupe_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op8_quotations, op9_sharding, op10_pu_quality, op11_line_dedup)}
 #: Where SQL can express the operator; the others learn, tokenize, pack or compare by edits.
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op6_cover_tree": cover_tree.oracle(),
     "op7_jaccard_join": jaccard_join.oracle(),
+    "op11_line_dedup": line_dedup.oracle(),
 }
