@@ -15,10 +15,11 @@ is then in the twice filter (no false negatives); a few others are there by chan
 key is in the twice filter -- the suspected repeats -- shuffle, by their exact key, to confirm the
 repeat and choose the smallest doc_id. Documents without a dropped line keep their text untouched.
 
-The filters have ``BITS_PER_KEY`` bits for each distinct candidate key (estimated by HyperLogLog),
-at most ``MAX_BITS``: that is the size bound of the one broadcast (the twice filter, MAX_BITS / 8
-bytes). Past that many keys the filter fills, more lines become suspects, and the exact step does
-more work; results never change with the size.
+The filters have ``BITS`` bits: that is the size bound of the one broadcast (the twice filter,
+BITS / 8 bytes), whatever the input. Tasks send only the positions they set, so a small input sends
+little. Past about BITS / 8 distinct keys the filter fills, more lines become suspects, and the exact
+step does more work; results never change with the size. The candidate lines (key at least
+MIN_CHARS long) are written once, and both the filter pass and the probe read them.
 
 Defined cases: a null text is one empty line, as is an empty text; a row with a null doc_id drops
 every repeated line whose holders have a non-null doc_id, and keeps the lines of a key that only
@@ -44,8 +45,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 MIN_CHARS = 10
 
 HASHES = 4
-BITS_PER_KEY = 8
-MIN_BITS, MAX_BITS = 1 << 16, 1 << 27
+BITS = 1 << 27
 BLOCK = 1 << 16  # bits of the twice filter fetched a row at a time
 
 _DOC, _TH, _POS, _LINE, _KEY, _H = "__doc", "__th", "__pos", "__line", "__key", "__h"
@@ -68,12 +68,6 @@ def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
     return keyed.withColumn(_H, F.when(F.char_length(_KEY) >= MIN_CHARS, F.xxhash64(_KEY)))
 
 
-def filter_bits(distinct_keys: int) -> int:
-    """Bits of each filter: a power of two near BITS_PER_KEY a key, within MIN_BITS and MAX_BITS."""
-    wanted = max(int(distinct_keys), 1) * BITS_PER_KEY
-    return int(min(max(1 << (wanted - 1).bit_length(), MIN_BITS), MAX_BITS))
-
-
 def positions(h: np.ndarray, bits: int) -> np.ndarray:
     """HASHES bit positions of each hash (rows), by double hashing of its two halves."""
     u = h.astype(np.int64).view(np.uint64)
@@ -141,10 +135,8 @@ def dropped_lines(docs: DataFrame, text: str = "text", scratch: RunScratch | Non
     """(doc, th, dropped): the sorted positions of the dropped lines of each row that loses any."""
     spark = docs.sparkSession
     scratch = scratch or RunScratch(spark, "line-dedup")
-    candidates = lines_of(docs, text).where(F.col(_H).isNotNull())
-    distinct_keys = candidates.agg(F.approx_count_distinct(_H)).first()[0] or 0
-    bits = filter_bits(distinct_keys)
-    flags = twice_filter(candidates, bits, scratch)
+    candidates = scratch.write(lines_of(docs, text).where(F.col(_H).isNotNull()).select(_DOC, _TH, _POS, _KEY, _H), "candidates")
+    flags = twice_filter(candidates, BITS, scratch)
     shared = spark.sparkContext.broadcast(flags)
     suspects = scratch.write(candidates.where(_suspect(shared)(F.col(_H))).select(_DOC, _TH, _POS, _KEY), "suspects")
     shared.unpersist()

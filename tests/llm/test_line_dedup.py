@@ -65,8 +65,7 @@ def test_by_brute_force(spark, seed):
 def test_full_filter_gives_the_same_rows(spark, monkeypatch):
     """A filter of few bits holds nearly every hash: more suspects, equal results."""
     rows = random_rows(7)
-    monkeypatch.setattr(ld, "MAX_BITS", 1 << 16)
-    monkeypatch.setattr(ld, "BITS_PER_KEY", 1)
+    monkeypatch.setattr(ld, "BITS", 1 << 6)
     assert run(spark, rows) == brute(rows)
 
 
