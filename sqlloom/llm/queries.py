@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, line_dedup, prefix_trie, pu_quality, quotations, sharding
+from sqlloom.llm import binary_index, cover_tree, curve_packing, decontaminate, jaccard_join, language_crf, license_scan, line_dedup, prefix_trie, pu_quality, quotations, sharding, token_alignment
 from sqlloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 8
 
 
@@ -62,11 +64,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.alignment(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op8_quotations, op9_sharding, op10_pu_quality, op11_line_dedup, op13_prefix_trie)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_binary_index, op3_decontaminate, op4_language_crf, op5_curve_packing, op6_cover_tree, op7_jaccard_join, op8_quotations, op9_sharding, op10_pu_quality, op11_line_dedup, op12_token_alignment, op13_prefix_trie)}
 #: Where SQL can express the operator; the others learn, tokenize, pack or compare by edits.
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
