@@ -13,7 +13,7 @@ from sqlloom.operators import catalog, dedupe, filters, leaks, profiles, ranking
 from sqlloom.operators.joins import lookup
 from sqlloom.options import DEFAULT_SEED, CurateOptions, JoinOptions, benchmark_run
 from sqlloom.plans import jobs, views
-from sqlloom.sources import contracts, readers
+from sqlloom.sources import contracts, quarantine, readers
 from sqlloom.sources.scratch import materialize, scratch_path
 from sqlloom.sources.spread import spread
 
@@ -40,6 +40,30 @@ def _(spark, sf):
     return readers.read_examples(spark, path, lines=True)
 
 
+#: A file of the examples with one good line, one broken line and one cut off, beside the clean files.
+DAMAGED = '{"db_id": "d", "question": "q", "query": "SELECT 1"}\n{"db_id": "d", "question": \n{"db_id": "d", "quest'
+
+
+@check(
+    "s7_quarantine_report",
+    D.with_(
+        D.view("examples"),
+        select="SELECT 'clean' AS kind, count(*) AS rows_read, CAST(0 AS BIGINT) AS bad_rows, count(*) AS good_rows FROM examples"
+        " UNION ALL SELECT 'damaged', CAST(3 AS BIGINT), CAST(2 AS BIGINT), CAST(1 AS BIGINT)",
+    ),
+)
+def _(spark, sf):
+    """Examples written as JSON lines, plus a damaged file: rows, bad rows and good rows by kind of
+    file, read with a share of 1 allowed (so nothing raises)."""
+    path = scratch_path(spark, "examples-damaged")
+    views.examples(spark, sf).select("db_id", "question", "query").write.json(f"{path}/clean")
+    spark.createDataFrame([(DAMAGED,)], "value string").coalesce(1).write.text(f"{path}/damaged")
+    read = quarantine.read_json_checked(spark, [f"{path}/clean", f"{path}/damaged"], readers.EXAMPLES, policy=quarantine.MalformedPolicy(max_bad_share=1.0))
+    kind = F.when(F.col(quarantine.FILE).contains("/damaged/"), "damaged").otherwise("clean")
+    counts = read.counts.groupBy(kind.alias("kind")).agg(F.sum("rows").alias("rows_read"), F.sum("bad_rows").alias("bad_rows"))
+    return counts.withColumn("good_rows", F.col("rows_read") - F.col("bad_rows"))
+
+
 @check(
     "s3_load_catalog",
     D.with_(

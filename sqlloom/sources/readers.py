@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sqlloom.sources.quarantine import MalformedPolicy, read_json_checked
+
 
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
@@ -74,7 +76,10 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
     return spark.read.schema(schema).json(path)
 
 
-def read_examples(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_examples(spark: SparkSession, path: str, lines: bool = False, policy: MalformedPolicy | None = None) -> DataFrame:
+    """With a policy, malformed records are counted, set aside and fatal past its share."""
+    if policy is not None:
+        return read_json_checked(spark, path, EXAMPLES, lines, policy).good
     reader = read_json_lines if lines else read_json_array
     return reader(spark, path, EXAMPLES)
 
@@ -92,9 +97,12 @@ def read_catalog(spark: SparkSession, paths: str | list[str], lines: bool = Fals
     return reader(spark, paths, CATALOG).withColumn("ordinal", place)
 
 
-def read_blocklist(spark: SparkSession, path: str | None, lines: bool = False) -> DataFrame:
+def read_blocklist(spark: SparkSession, path: str | None, lines: bool = False, policy: MalformedPolicy | None = None) -> DataFrame:
+    """With a policy, a broken line is counted and set aside (or fatal), never a row of nulls."""
     if not path:
         return spark.createDataFrame([], BLOCKLIST)
+    if policy is not None:
+        return read_json_checked(spark, path, BLOCKLIST, lines, policy).good
     reader = read_json_lines if lines else read_json_array
     return reader(spark, path, BLOCKLIST)
 
