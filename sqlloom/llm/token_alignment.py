@@ -108,40 +108,69 @@ def vocabularies(path_a: str, path_b: str):
     return a, b, bytes_a, bytes_b, same
 
 
-def align(text: str | None, a, b, bytes_a, bytes_b):
+class Pieces:
+    """A vocabulary's token bytes as arrays: all bytes in one buffer, each id's start and size, and
+    each id's decimal name; a token sequence's bytes and names are gathered without a Python loop."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+        self.names = np.array([str(i) for i in range(len(pieces))], dtype=object)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.size[ids]
+        before = np.cumsum(sizes) - sizes
+        return self.flat[np.repeat(self.start[ids] - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+@functools.lru_cache(maxsize=4)
+def pieces_of(path_a: str, path_b: str) -> tuple[Pieces, Pieces]:
+    _, _, bytes_a, bytes_b, _ = vocabularies(path_a, path_b)
+    return Pieces(bytes_a), Pieces(bytes_b)
+
+
+def align(text: str | None, a, b, pieces_a: Pieces, pieces_b: Pieces):
     """(ids A, ids B, group ends in A, group ends in B) of one text, or None without tokens."""
     if not text:
         return None
-    want = (" " + text).encode()
-    ids_a = a.encode(" " + text, add_special_tokens=False).ids
-    ids_b = b.encode(text)
-    if b"".join(bytes_a[i] for i in ids_a) != want or b"".join(bytes_b[i] for i in ids_b) != want:
-        return None
-    return group(np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64), bytes_a, bytes_b)
+    want = np.frombuffer((" " + text).encode(), np.uint8)
+    ids_a = np.asarray(a.encode(" " + text, add_special_tokens=False).ids, np.int64)
+    ids_b = np.asarray(b.encode(text), np.int64)
+    for ids, vocabulary in ((ids_a, pieces_a), (ids_b, pieces_b)):
+        if int(vocabulary.size[ids].sum()) != len(want) or not np.array_equal(vocabulary.joined(ids), want):
+            return None
+    return group(ids_a, ids_b, pieces_a, pieces_b)
 
 
-def group(ids_a: np.ndarray, ids_b: np.ndarray, bytes_a, bytes_b):
-    len_a = np.fromiter((len(bytes_a[i]) for i in ids_a), np.int64, len(ids_a))
-    len_b = np.fromiter((len(bytes_b[i]) for i in ids_b), np.int64, len(ids_b))
-    ends_a, ends_b = np.cumsum(len_a), np.cumsum(len_b)
+def group(ids_a: np.ndarray, ids_b: np.ndarray, pieces_a: Pieces, pieces_b: Pieces):
+    ends_a, ends_b = np.cumsum(pieces_a.size[ids_a]), np.cumsum(pieces_b.size[ids_b])
     cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
     last_a = np.searchsorted(ends_a, cuts)  # index of the A token ending at each cut
     last_b = np.searchsorted(ends_b, cuts)
     return ids_a, ids_b, last_a, last_b
 
 
-def digest(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-    text_a, text_b = ids_a.astype(str), ids_b.astype(str)
-    parts, start_a, start_b = [], 0, 0
-    for end_a, end_b in zip(last_a.tolist(), last_b.tolist()):
-        parts.append(",".join(text_a[start_a : end_a + 1]) + "|" + ",".join(text_b[start_b : end_b + 1]))
-        start_a, start_b = end_a + 1, end_b + 1
-    return hashlib.sha256(";".join(parts).encode()).hexdigest()
+def digest(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, pieces_a: Pieces, pieces_b: Pieces) -> str:
+    """sha256 of ``a1,a2|b1;a3|b2,b3``: every id with the separator behind it, ordered by group, side
+    (A before B) and place."""
+    n_a, n_b = len(ids_a), len(ids_b)
+    after_a = np.full(n_a, ",", dtype=object)
+    after_a[last_a] = "|"
+    after_b = np.full(n_b, ",", dtype=object)
+    after_b[last_b] = ";"
+    after_b[-1] = ""
+    parts = np.concatenate([pieces_a.names[ids_a] + after_a, pieces_b.names[ids_b] + after_b])
+    groups = np.concatenate([np.searchsorted(last_a, np.arange(n_a)), np.searchsorted(last_b, np.arange(n_b))])
+    side = np.concatenate([np.zeros(n_a, np.int8), np.ones(n_b, np.int8)])
+    order = np.lexsort((np.arange(n_a + n_b), side, groups))
+    return hashlib.sha256("".join(parts[order].tolist()).encode()).hexdigest()
 
 
 def _encode(path_a: str, path_b: str):
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, bytes_a, bytes_b, same = vocabularies(path_a, path_b)
+        pieces_a, pieces_b = pieces_of(path_a, path_b)
         regular_counts = np.zeros(len(bytes_a), np.int64)
         pair_keys, pair_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
@@ -150,7 +179,7 @@ def _encode(path_a: str, path_b: str):
                 out = {k: [] for k in ("__row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "regular", "irregular")}
                 batch_keys = [pair_keys]
                 for row, text in zip(rows, texts):
-                    got = align(text, a, b, bytes_a, bytes_b)
+                    got = align(text, a, b, pieces_a, pieces_b)
                     if got is None:
                         values = (row, 0, 0, 0, 0, "", b"", [])
                     else:
@@ -162,7 +191,7 @@ def _encode(path_a: str, path_b: str):
                         np.add.at(regular_counts, la[one], 1)
                         keys = (la[~one] << 32) | lb[~one]
                         batch_keys.append(keys)
-                        values = (row, len(ids_a), len(ids_b), len(last_a), len(last_a), digest(ids_a, ids_b, last_a, last_b), la[one].astype("<i4").tobytes(), keys.tolist())
+                        values = (row, len(ids_a), len(ids_b), len(last_a), len(last_a), digest(ids_a, ids_b, last_a, last_b, pieces_a, pieces_b), la[one].astype("<i4").tobytes(), keys.tolist())
                     for k, v in zip(out, values):
                         out[k].append(v)
                 # The task's irregular pairs stay counted, never listed: memory grows with distinct pairs only.
