@@ -130,13 +130,22 @@ def pieces_of(path_a: str, path_b: str) -> tuple[Pieces, Pieces]:
     return Pieces(bytes_a), Pieces(bytes_b)
 
 
-def align(text: str | None, a, b, pieces_a: Pieces, pieces_b: Pieces):
-    """(ids A, ids B, group ends in A, group ends in B) of one text, or None without tokens."""
+def encode_all(texts: list[str | None], a, b) -> tuple[list, list]:
+    """Ids of A and B of each text in one call a tokenizer (A without offsets); None for no text."""
+    present = [t for t in texts if t]
+    ids_a = iter([e.ids for e in a.encode_batch_fast([" " + t for t in present], add_special_tokens=False)] if present else [])
+    ids_b = iter(b.encode(present, num_threads=1) if present else [])
+    pairs = [(next(ids_a), next(ids_b)) if t else (None, None) for t in texts]
+    return [p[0] for p in pairs], [p[1] for p in pairs]
+
+
+def align(text: str | None, ids_a, ids_b, pieces_a: Pieces, pieces_b: Pieces):
+    """(ids A, ids B, group ends in A, group ends in B) of one text and its two encodings, or None
+    without tokens."""
     if not text:
         return None
     want = np.frombuffer((" " + text).encode(), np.uint8)
-    ids_a = np.asarray(a.encode(" " + text, add_special_tokens=False).ids, np.int64)
-    ids_b = np.asarray(b.encode(text), np.int64)
+    ids_a, ids_b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
     for ids, vocabulary in ((ids_a, pieces_a), (ids_b, pieces_b)):
         if int(vocabulary.size[ids].sum()) != len(want) or not np.array_equal(vocabulary.joined(ids), want):
             return None
@@ -178,8 +187,9 @@ def _encode(path_a: str, path_b: str):
                 rows, texts = part.column("__row").to_pylist(), part.column("text").to_pylist()
                 out = {k: [] for k in ("__row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "regular", "irregular")}
                 batch_keys = [pair_keys]
-                for row, text in zip(rows, texts):
-                    got = align(text, a, b, pieces_a, pieces_b)
+                all_a, all_b = encode_all(texts, a, b)
+                for row, text, one_a, one_b in zip(rows, texts, all_a, all_b):
+                    got = align(text, one_a, one_b, pieces_a, pieces_b)
                     if got is None:
                         values = (row, 0, 0, 0, 0, "", b"", [])
                     else:
