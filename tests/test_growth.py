@@ -2,6 +2,9 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from sqlloom.checks.training import exploded
 from sqlloom.operators.catalog import normalize_catalog
 
 CATALOG = (
@@ -20,3 +23,11 @@ def test_catalog_entries_are_dealt_out_before_they_are_sorted(spark):
     assert re.search(r"Repartition\w* \[db_id#\d+, ordinal#\d+L?\]", plan(last))
     wanted = {r[0]: r[1] for r in sorted(rows, key=lambda r: r[-1])}
     assert {r.db_id: r.tables for r in last.collect()} == wanted
+
+
+def test_exploding_messages_builds_them_once(spark):
+    rows = spark.range(3).select(F.col("id").alias("example_id"), F.col("id").cast("string").alias("text"))
+    chat = F.concat(*(F.array(F.struct(F.lit(r).alias("role"), F.repeat("text", i).alias("content"))) for i, r in enumerate("abc", 1)))
+    out = exploded(rows.repartition(2).select("example_id", chat.alias("messages")))
+    assert "Filter" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.where("example_id = 1").collect())) == [(1, 0, "a", "1"), (1, 1, "b", "11"), (1, 2, "c", "111")]
