@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sqlloom.checks.training import exploded
 from sqlloom.operators.catalog import normalize_catalog
+from sqlloom.sources import spread as spreading
 
 CATALOG = (
     "db_id string, table_names_original array<string>, column_names_original array<array<string>>,"
@@ -31,3 +32,15 @@ def test_exploding_messages_builds_them_once(spark):
     out = exploded(rows.repartition(2).select("example_id", chat.alias("messages")))
     assert "Filter" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, out.where("example_id = 1").collect())) == [(1, 0, "a", "1"), (1, 1, "b", "11"), (1, 2, "c", "111")]
+
+
+def test_spread_makes_more_tasks_of_larger_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(100_000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert spreading.spread(df, "id").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(spreading, "TASK_BYTES", 10_000)
+    wide = spreading.spread(df, "id")
+    assert wide.rdd.getNumPartitions() > 2 * cores
+    assert wide.agg(F.count("id"), F.sum("id")).first() == (100_000, 4_999_950_000)
