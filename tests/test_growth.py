@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from sqlloom.checks.training import exploded
+from sqlloom.functions import tokens
 from sqlloom.operators.catalog import normalize_catalog
 from sqlloom.sources import spread as spreading
 
@@ -44,3 +45,14 @@ def test_spread_makes_more_tasks_of_larger_files(spark, tmp_path, monkeypatch):
     wide = spreading.spread(df, "id")
     assert wide.rdd.getNumPartitions() > 2 * cores
     assert wide.agg(F.count("id"), F.sum("id")).first() == (100_000, 4_999_950_000)
+
+
+def test_limited_ids_are_those_of_the_expression(spark):
+    texts = [None, "", " ", "".join(map(chr, range(128))), "a<|im_start|>b1 2c_<|im_en<|im_end|>\n", "é1 x", "x" * 500 + " ½²Ⅷ 漢字  y", "\x85a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for limit in (0, 3, 1000):
+        # Nulls come as empty texts here; tokenize() never passes one.
+        row = df.select(F.coalesce("text", F.lit("")).alias("text")).select(
+            tokens.limited_ids(F.col("text"), limit).alias("got"), tokens.hashed(F.col("text"), limit).alias("want")
+        )
+        assert all(r.got == r.want for r in row.collect())
