@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sqlloom.checks.training import exploded
 from sqlloom.functions import tokens
 from sqlloom.operators.catalog import normalize_catalog
+from sqlloom.plans import jobs, views
 from sqlloom.sources import spread as spreading
 
 CATALOG = (
@@ -56,3 +57,9 @@ def test_limited_ids_are_those_of_the_expression(spark):
             tokens.limited_ids(F.col("text"), limit).alias("got"), tokens.hashed(F.col("text"), limit).alias("want")
         )
         assert all(r.got == r.want for r in row.collect())
+
+
+def test_tokenizer_over_the_validity_check_in_one_plan(spark, sf):
+    classified = jobs.classify_examples(views.examples(spark, sf), views.raw_catalog(spark, sf))
+    rows = jobs.with_messages(jobs.prepared_rows(classified))
+    assert jobs.supervised_rows(rows).count() == rows.count() > 0
