@@ -28,6 +28,19 @@ def test_catalog_entries_are_dealt_out_before_they_are_sorted(spark):
     assert {r.db_id: r.tables for r in last.collect()} == wanted
 
 
+def test_catalog_sorts_are_cut_by_size_and_not_merged_again(spark, monkeypatch):
+    rows = [(f"d{i % 40}" if i % 4 else None, [f"t{i}"], [["0", "c" * 50]], ["text"], None, None, i) for i in range(400)]
+    # One database has an entry without an ordinal, which never wins, another has only such an entry.
+    rows += [("d1", ["never"], None, None, None, None, None), ("unplaced", ["lost"], None, None, None, None, None)]
+    monkeypatch.setattr(spreading, "SORTED_BYTES", 1000, raising=False)
+    last = normalize_catalog(spark.createDataFrame(rows, CATALOG).coalesce(1))
+    assert last.rdd.getNumPartitions() > 30 > 2 * spark.sparkContext.defaultParallelism
+    wanted = {r[0]: r[1] for r in sorted(rows[:400], key=lambda r: r[-1])}
+    got = last.collect()
+    assert {r.db_id: r.tables for r in got if r.tables} == wanted
+    assert sum(r.tables is None for r in got) == 1
+
+
 def test_exploding_messages_builds_them_once(spark):
     rows = spark.range(3).select(F.col("id").alias("example_id"), F.col("id").cast("string").alias("text"))
     chat = F.concat(*(F.array(F.struct(F.lit(r).alias("role"), F.repeat("text", i).alias("content"))) for i, r in enumerate("abc", 1)))
