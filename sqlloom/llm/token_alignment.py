@@ -18,6 +18,9 @@ both; the highest count of each B id and the regular counts are vocabulary-lengt
 are broadcast with a size bound. Each document's irregular links are joined to the pair counts (a
 shuffle with hot pairs salted); its regular links are read off the vectors.
 
+Tokenizer A encodes each distinct word of its pre-tokenizer's split once: byte-level BPE never merges
+across words, so a text's ids are those of its words one after the other.
+
 Defined cases: a null or empty text, or one whose joined A or B bytes differ from a space and the
 text (sentencepiece normalises some texts), has no tokens: every count is 0 and the digest is ''.
 Repeated rows are documents of their own, and count twice. Other columns pass through, and the
@@ -28,6 +31,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +41,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sqlloom.llm.common import pieces
+from sqlloom.llm.common import caches, pieces
+from sqlloom.llm.tokens import id_type
 from sqlloom.operators.joins import lookup
 from sqlloom.options import JoinOptions
 from sqlloom.sources.scratch import RunScratch
@@ -108,15 +115,88 @@ def vocabularies(path_a: str, path_b: str):
     return a, b, bytes_a, bytes_b, same
 
 
+#: Characters whose classes are settled: Latin letters with what stands beside them, dashes and quotes.
+COVERED = [*map(chr, range(0x250)), *map(chr, range(0x2010, 0x2028))]
+UNCOVERED = re.compile("[^\\u0000-\\u024f\\u2010-\\u2027]")
+WHITE = "\t\n\x0b\x0c\r \x85\xa0"
+
+
+def _word() -> re.Pattern:
+    """The split of the byte-level pre-tokenizer, for covered characters."""
+
+    def characters(kind: str) -> str:
+        return "".join(f"\\u{ord(c):04x}" for c in COVERED if unicodedata.category(c)[0] == kind)
+
+    letter, number = characters("L"), characters("N")
+    white = "".join(f"\\u{ord(c):04x}" for c in WHITE)
+    return re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{number}]+| ?[^{white}{letter}{number}]+|[{white}]+(?![^{white}])|[{white}]+")
+
+
+WORD = _word()
+#: Words in a generation of the cache (see ``tokens.CACHED_WORDS``), and the characters of a word kept there.
+CACHED_WORDS, CACHED_LENGTH = 100_000, 40
+
+
+class ByteLevelWords:
+    """Ids by a byte-level BPE tokenizer, each distinct word sent to the library once. Texts with other
+    characters than the covered ones, and all texts of tokenizers of another kind, are sent whole."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.dtype = id_type(tokenizer.get_vocab_size(with_added_tokens=True))
+        stated = json.loads(tokenizer.to_str())
+        split, model = stated["pre_tokenizer"] or {}, stated["model"]
+        self.by_word = (
+            (split.get("type"), split.get("use_regex"), split.get("add_prefix_space")) == ("ByteLevel", True, False)
+            and (model["type"], model.get("dropout")) == ("BPE", None)
+            and not (stated["normalizer"] or stated["truncation"] or stated["padding"])
+            and tokenizer.encode_special_tokens
+            and all(t["special"] for t in stated["added_tokens"])
+        )
+        caches.append(self)
+        self.forget()
+
+    def forget(self) -> None:
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.cache) > CACHED_WORDS:
+            self.old, self.cache = self.cache, {}
+        cache, old = self.cache, self.old
+        words = [WORD.findall(t) if self.by_word and not UNCOVERED.search(t) else None for t in texts]
+        others = iter(self._whole([t for t, w in zip(texts, words) if w is None]))
+        new = set().union(*filter(None, words)).difference(cache)
+        cache.update((w, old[w]) for w in new.intersection(old))
+        new = list(new.difference(old))
+        cache.update(zip(new, self._whole(new)))
+        ids = [next(others) if w is None else b"".join(map(cache.__getitem__, w)) for w in words]
+        for word in new:
+            if len(word) > CACHED_LENGTH:
+                del cache[word]
+        return [np.frombuffer(i, self.dtype) for i in ids]
+
+
+@functools.lru_cache(maxsize=4)
+def words_of(path_a: str, path_b: str) -> ByteLevelWords:
+    return ByteLevelWords(vocabularies(path_a, path_b)[0])
+
+
 class Pieces:
     """A vocabulary's token bytes as arrays: all bytes in one buffer, each id's start and size, and
-    each id's decimal name; a token sequence's bytes and names are gathered without a Python loop."""
+    each id's decimal name with each separator behind it; a token sequence's bytes and names are
+    gathered without a Python loop."""
 
     def __init__(self, pieces: list[bytes]):
         self.size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(pieces), np.uint8)
-        self.names = np.array([str(i) for i in range(len(pieces))], dtype=object)
+        self.names = {end: np.array([f"{i}{end}" for i in range(len(pieces))], dtype=object) for end in (",", "|", ";")}
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         sizes = self.size[ids]
@@ -130,10 +210,10 @@ def pieces_of(path_a: str, path_b: str) -> tuple[Pieces, Pieces]:
     return Pieces(bytes_a), Pieces(bytes_b)
 
 
-def encode_all(texts: list[str | None], a, b) -> tuple[list, list]:
-    """Ids of A and B of each text in one call a tokenizer (A without offsets); None for no text."""
+def encode_all(texts: list[str | None], a: ByteLevelWords, b) -> tuple[list, list]:
+    """Ids of A and B of each text; None for no text."""
     present = [t for t in texts if t]
-    ids_a = iter([e.ids for e in a.encode_batch_fast([" " + t for t in present], add_special_tokens=False)] if present else [])
+    ids_a = iter(a.encode([" " + t for t in present]))
     ids_b = iter(b.encode(present, num_threads=1) if present else [])
     pairs = [(next(ids_a), next(ids_b)) if t else (None, None) for t in texts]
     return [p[0] for p in pairs], [p[1] for p in pairs]
@@ -163,22 +243,22 @@ def group(ids_a: np.ndarray, ids_b: np.ndarray, pieces_a: Pieces, pieces_b: Piec
 def digest(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, pieces_a: Pieces, pieces_b: Pieces) -> str:
     """sha256 of ``a1,a2|b1;a3|b2,b3``: every id with the separator behind it, ordered by group, side
     (A before B) and place."""
-    n_a, n_b = len(ids_a), len(ids_b)
-    after_a = np.full(n_a, ",", dtype=object)
-    after_a[last_a] = "|"
-    after_b = np.full(n_b, ",", dtype=object)
-    after_b[last_b] = ";"
-    after_b[-1] = ""
-    parts = np.concatenate([pieces_a.names[ids_a] + after_a, pieces_b.names[ids_b] + after_b])
-    groups = np.concatenate([np.searchsorted(last_a, np.arange(n_a)), np.searchsorted(last_b, np.arange(n_b))])
-    side = np.concatenate([np.zeros(n_a, np.int8), np.ones(n_b, np.int8)])
-    order = np.lexsort((np.arange(n_a + n_b), side, groups))
-    return hashlib.sha256("".join(parts[order].tolist()).encode()).hexdigest()
+    parts_a, parts_b = pieces_a.names[","][ids_a], pieces_b.names[","][ids_b]
+    parts_a[last_a] = pieces_a.names["|"][ids_a[last_a]]
+    parts_b[last_b] = pieces_b.names[";"][ids_b[last_b]]
+    # Before an A token stand the B tokens of the groups before its own, before a B token the A tokens up to its own.
+    before_a = np.repeat(np.concatenate([[0], last_b[:-1] + 1]), np.diff(last_a, prepend=-1))
+    before_b = np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+    parts = np.empty(len(ids_a) + len(ids_b), dtype=object)
+    parts[np.arange(len(ids_a)) + before_a] = parts_a
+    parts[np.arange(len(ids_b)) + before_b] = parts_b
+    return hashlib.sha256("".join(parts.tolist())[:-1].encode()).hexdigest()
 
 
 def _encode(path_a: str, path_b: str):
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, bytes_a, bytes_b, same = vocabularies(path_a, path_b)
+        _, b, bytes_a, bytes_b, same = vocabularies(path_a, path_b)
+        a = words_of(path_a, path_b)
         pieces_a, pieces_b = pieces_of(path_a, path_b)
         regular_counts = np.zeros(len(bytes_a), np.int64)
         pair_keys, pair_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)

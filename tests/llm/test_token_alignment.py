@@ -112,3 +112,39 @@ def test_query_by_brute_force(spark, sf):
     got = sorted((tuple(r) for r in op12_token_alignment(spark, sf).collect()), key=repr)
     assert got == brute(rows)
     assert sum(1 for r in got if r[3] > 0) > len(got) / 2
+
+
+def covered_texts():
+    """Every covered character in several places, and seeded strings of the characters that part words."""
+    import random
+
+    texts = [f"a{c}b {c}{c} 1{c}'{c}s  {c}\n{c}" for c in ta.COVERED]
+    rng = random.Random(12)
+    marks = list("  \n\t\r\x0b\x0c\x1c\x1f\x85\xa0''stmdrevlaAé½²ªº\xad19_.,<|>’“–\x00\x7f")
+    texts += ["".join(rng.choices(marks, k=rng.randint(1, 60))) for _ in range(3000)]
+    return [*texts, "it's we'll I'VE  don't\n\n  x <|endoftext|> y", "z" * 3000, " ", "\n"]
+
+
+def test_word_ids_are_those_of_whole_texts(monkeypatch):
+    a = ta.vocabularies(A, B)[0]
+    words = ta.ByteLevelWords(a)
+    texts = [*covered_texts(), "中文 字符 and words", "x́y ٣   z", "😀 it's"]
+    want = [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [i.tolist() for i in words.encode(texts)] == want
+    assert max(map(len, words.cache)) <= ta.CACHED_LENGTH
+    # Words that were met are not sent again, nor after a change of generations.
+    monkeypatch.setattr(ta, "CACHED_WORDS", 10)
+    sent = []
+    monkeypatch.setattr(words, "_whole", lambda some: sent.extend(some) or [])
+    for _ in range(3):
+        assert [i.tolist() for i in words.encode(["it's we'll", "it's"])] == [e.ids for e in a.encode_batch(["it's we'll", "it's"], add_special_tokens=False)]
+    assert not sent
+
+
+def test_other_tokenizers_get_whole_texts():
+    import tokenizers
+
+    a = tokenizers.Tokenizer.from_file(A)  # special tokens in texts are tokens here
+    words = ta.ByteLevelWords(a)
+    assert not words.by_word
+    assert [i.tolist() for i in words.encode(["x <|endoftext|> y"])] == [a.encode("x <|endoftext|> y", add_special_tokens=False).ids]
