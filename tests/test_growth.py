@@ -76,3 +76,9 @@ def test_tokenizer_over_the_validity_check_in_one_plan(spark, sf):
     classified = jobs.classify_examples(views.examples(spark, sf), views.raw_catalog(spark, sf))
     rows = jobs.with_messages(jobs.prepared_rows(classified))
     assert jobs.supervised_rows(rows).count() == rows.count() > 0
+
+
+def test_prepared_rows_are_dealt_by_size_before_they_are_sorted_by_split(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(spreading, "SORTED_BYTES", 10_000, raising=False)
+    jobs.run_prepare(views.examples(spark, sf).limit(1000), views.raw_catalog(spark, sf).limit(200), str(tmp_path / "p"))
+    assert len(list((tmp_path / "p" / "all_cleaned" / "split=train").glob("part-*"))) > 2 * spark.sparkContext.defaultParallelism
