@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from sqlloom.llm.common import arrow_batch, mix, open_folder, pieces
+from sqlloom.llm.common import ENCODED_BYTES, arrow_batch, mix, open_folder, pieces
 from sqlloom.llm.tokens import encoder, id_type
 from sqlloom.sources.scratch import RunScratch
 
@@ -131,7 +131,7 @@ def _write_shard(folder: str, tokenizer: str, end_id: int, batches: Iterator[pa.
     shard = TaskContext.get().partitionId()
     out, lengths, keys, no_key = None, [], [], 0
     for batch in batches:
-        for part in pieces(batch, "text"):
+        for part in pieces(batch, "text", ENCODED_BYTES):
             if out is None:
                 system, path = open_folder(folder)
                 system.create_dir(path, recursive=True)

@@ -113,9 +113,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPAC
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(tokenizer).dtype
-        for batch in batches:
+        for part in (part for batch in batches for part in pieces(batch, "ids")):
             out, size = {name: [] for name in PIECE.names}, 0
-            for doc, key, at, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "curve_key", "at", "ids"))):
+            for doc, key, at, raw in zip(*(part.column(c).to_pylist() for c in ("doc_id", "curve_key", "at", "ids"))):
                 ids = np.frombuffer(raw, dtype).astype("<u4")
                 edges = [0, *range(capacity - at % capacity, len(ids), capacity), len(ids)]
                 for a, b in zip(edges, edges[1:]):

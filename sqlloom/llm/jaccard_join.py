@@ -50,8 +50,6 @@ SEEN = 48
 FREQUENT = 1 << 20
 LOCAL = 1_000_000  # shingles counted at a time in a task
 
-PIECE_BYTES = 2 << 20  # text hashed at a time
-
 RING = 10  # rings of distance 0.1
 BLOCK_SHINGLES = 1 << 17
 BLOCK_SETS = 512
@@ -111,7 +109,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", PIECE_BYTES):
+            for part in pieces(batch, "text"):
                 prints = [md5(t.as_py() or b"").digest() for t in part.column("text").cast(pa.binary())]
                 yield _sketch(part.column("doc_id"), prints, *shingle_sets(part.column("text")), shared.value)
 
@@ -208,7 +206,7 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> np.ndarray:
             pending.clear()
 
         for batch in batches:
-            for part in pieces(batch, "text", PIECE_BYTES):
+            for part in pieces(batch, "text"):
                 value = shingle_sets(part.column("text"))[1]
                 pending.append(value)
                 size += len(value)
@@ -258,7 +256,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, scratch: RunScratch, label: str,
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", PIECE_BYTES):
+            for part in pieces(batch, "text"):
                 owner, value = shingle_sets(part.column("text"))
                 size, first = _runs(owner, part.num_rows)
                 key_a, key_b = set_keys(owner, value, part.num_rows)
@@ -283,15 +281,16 @@ def _against_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         [("region", pa.int64()), ("class", pa.int64()), ("guest", pa.bool_()), ("d", pa.float64()), ("linked", pa.bool_()), ("size", pa.int64()), ("shingles", pa.binary())]
     )
     for batch in batches:
-        distance, linked, size = [], [], []
-        for pair in zip(batch.column("shingles"), batch.column("pivot_shingles")):
-            a, b = (np.frombuffer(x.as_buffer(), "<u8") for x in pair)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            union = len(a) + len(b) - both
-            distance.append(1 - both / union)
-            linked.append(bool(similar_enough(both, union)))
-            size.append(len(a))
-        yield arrow_batch(schema, region=batch.column("region"), **{"class": batch.column("class")}, guest=batch.column("guest"), d=distance, linked=linked, size=size, shingles=batch.column("shingles"))
+        for part in pieces(batch, "shingles"):
+            distance, linked, size = [], [], []
+            for pair in zip(part.column("shingles"), part.column("pivot_shingles")):
+                a, b = (np.frombuffer(x.as_buffer(), "<u8") for x in pair)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                union = len(a) + len(b) - both
+                distance.append(1 - both / union)
+                linked.append(bool(similar_enough(both, union)))
+                size.append(len(a))
+            yield arrow_batch(schema, region=part.column("region"), **{"class": part.column("class")}, guest=part.column("guest"), d=distance, linked=linked, size=size, shingles=part.column("shingles"))
 
 
 def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

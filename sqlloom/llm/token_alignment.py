@@ -41,7 +41,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sqlloom.llm.common import caches, pieces
+from sqlloom.llm.common import ENCODED_BYTES, caches, pieces
 from sqlloom.llm.tokens import id_type
 from sqlloom.operators.joins import lookup
 from sqlloom.options import JoinOptions
@@ -263,7 +263,7 @@ def _encode(path_a: str, path_b: str):
         regular_counts = np.zeros(len(bytes_a), np.int64)
         pair_keys, pair_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", ENCODED_BYTES):
                 rows, texts = part.column("__row").to_pylist(), part.column("text").to_pylist()
                 out = {k: [] for k in ("__row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "regular", "irregular")}
                 batch_keys = [pair_keys]

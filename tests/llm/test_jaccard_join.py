@@ -1,14 +1,16 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, differences
 from conftest_llm import ascii_lower
 
 from sqlloom.llm import jaccard_join as jj
-from sqlloom.llm.common import table
+from sqlloom.llm.common import pieces, table
 from sqlloom.llm.queries import op7_jaccard_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -146,3 +148,30 @@ def test_spanning_links_join_what_all_links_join():
 def test_empty_table(no_docs):
     assert jj.near_duplicates(no_docs).count() == 0
     assert jj.one_of_each(no_docs).count() == 0
+
+
+def test_memory_of_a_task_is_bounded_by_small_pieces_of_a_batch():
+    texts = [" ".join(f"w{i}x{j}" for j in range(12_000)) for i in range(60)]
+    batch = pa.record_batch({"doc_id": pa.array(range(60), pa.int64()), "text": pa.array(texts, pa.string())})
+    assert batch.nbytes > 4 << 20
+    tracemalloc.start()
+    rows, shingles = 0, 0
+    for part in pieces(batch, "text"):
+        rows += part.num_rows
+        shingles += len(jj.shingle_sets(part.column("text"))[1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60 and shingles == 60 * 11_996
+    assert peak < 64 << 20
+
+
+def test_measured_sets_are_passed_on_in_small_batches():
+    sets = [np.arange(i, i + 10_000, dtype="<u8").tobytes() for i in range(40)]
+    batch = pa.record_batch(
+        {"region": pa.array([0] * 40), "class": pa.array(range(40)), "guest": pa.array([False] * 40), "shingles": pa.array(sets, pa.binary()), "pivot_shingles": pa.array([sets[0]] * 40, pa.binary())}
+    )
+    out = list(jj._against_pivot(iter([batch])))
+    assert max(sum(map(len, b.column("shingles").to_pylist())) for b in out) <= 1 << 19
+    got = [r for b in out for r in b.to_pylist()]
+    assert [r["class"] for r in got] == list(range(40)) and [r["shingles"] for r in got] == sets
+    assert [r["linked"] for r in got] == [5 * (10_000 - i) >= 4 * (10_000 + i) for i in range(40)]
