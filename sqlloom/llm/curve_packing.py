@@ -34,6 +34,7 @@ ENCODED = pa.schema([("doc_id", pa.int64()), ("curve_key", pa.int64()), ("n", pa
 PIECE = pa.schema([*((c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "curve_key")), ("ids", pa.binary())])
 #: What the registered queries return: the ids by their digest.
 DIGEST = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "curve_key"]
+TEXT_BYTES = 2 << 20  # of texts encoded at a time
 PIECE_BYTES = 4 << 20  # of ids in a batch of pieces
 
 
@@ -74,12 +75,15 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 def curve_keys(ids: np.ndarray, lengths: np.ndarray, signs: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Curve keys of documents whose ids lie end to end. Sums of signs over sqrt(length) spread like
     a normal distribution, whatever the length; they are cut to +-4 and put on the grid."""
-    ends = np.cumsum(lengths)
-    grid = np.zeros((len(lengths), signs.shape[1]), np.int64)
-    for k in range(signs.shape[1]):
-        sums = np.concatenate([[0], np.cumsum(signs[:, k][ids], dtype=np.float64)])
-        spread = (sums[ends] - sums[ends - lengths]) / np.sqrt(np.maximum(lengths, 1))
-        grid[:, k] = np.clip((spread + 4) / 8 * (1 << bits), 0, (1 << bits) - 1)
+    n, dimensions = len(lengths), signs.shape[1]
+    # How often each pattern of signs occurs in each document.
+    number = ((signs > 0) @ (1 << np.arange(dimensions))).astype(np.uint8 if dimensions <= 8 else np.int64)
+    at = np.repeat(np.arange(n) << dimensions, lengths)
+    at += number[ids]
+    counts = np.bincount(at, minlength=n << dimensions).reshape(n, 1 << dimensions)
+    patterns = (np.arange(1 << dimensions)[:, None] >> np.arange(dimensions) & 1) * 2 - 1
+    spread = (counts @ patterns) / np.sqrt(np.maximum(lengths, 1))[:, None]
+    grid = np.clip((spread + 4) / 8 * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
     return hilbert(grid, bits)
 
 
@@ -91,11 +95,12 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         signs = projection(coder.tokenizer.get_vocab_size(with_added_tokens=True))
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in batches:
-            for part in pieces(batch, "text"):
-                raw = [x + end for x in coder.encode(part.column("text").to_pylist())]
-                lengths = np.array([len(x) // coder.dtype.itemsize for x in raw], np.int64)
-                keys = curve_keys(np.frombuffer(b"".join(raw), coder.dtype), lengths, signs)
-                yield arrow_batch(ENCODED, doc_id=part.column("doc_id"), curve_key=keys, n=lengths, ids=raw)
+            for part in pieces(batch, "text", TEXT_BYTES):
+                raw = coder.records(part.column("text").to_pylist(), end)
+                _, offsets, ids = raw.buffers()
+                lengths = np.diff(np.frombuffer(offsets, np.int64)) // coder.dtype.itemsize
+                keys = curve_keys(np.frombuffer(ids, coder.dtype), lengths, signs)
+                yield arrow_batch(ENCODED, doc_id=part.column("doc_id"), curve_key=keys, n=lengths, ids=raw.cast(pa.binary()))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(encode, "doc_id long, curve_key long, n long, ids binary")

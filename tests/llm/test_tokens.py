@@ -28,6 +28,27 @@ def test_encoder_equals_the_library_on_odd_texts():
     assert got == [PLAIN.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_words_between_marks_and_digits_are_encoded_once():
+    coder = WordEncoder(TOKENIZER)
+    stems = [a + b + c for a in "bcdfg" for b in "aeiou" for c in ("nt", "sh", "mers", "ué")]
+    marks = ["", ".", ",", "&&&", ",###", ").", "!!", "12"]
+    texts = [" ".join(stem + mark for stem in stems if stem.isascii()) for mark in marks]
+    assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode(texts)] == [ids_of(t, 2)[:-1].tolist() for t in texts]
+    assert len(coder.cache) <= len(stems) + len(marks)  # not one entry for each mark behind each word
+    texts = [" ".join(stem + mark for stem in stems) for mark in marks]
+    assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode(texts)] == [ids_of(t, 2)[:-1].tolist() for t in texts]
+
+
+def test_encoder_equals_the_library_next_to_marks(monkeypatch):
+    monkeypatch.setattr("sqlloom.llm.tokens.CACHED_WORDS", 2_000)
+    rnd, coder = random.Random(9), WordEncoder(TOKENIZER)
+    alphabet = list("abst xyz12'|<>/=_-#.,\u0338\u0301éσςΣ\n") + ["'ll", "'s", "a=\u0338", "1\u20e3", "</w>", "<|endoftext|>", "<|", "|>", "K", "\x00", "😀"]
+    texts = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 20))) for _ in range(6_000)]
+    for size in (1, 50, 6_000):
+        records = [r for at in range(0, len(texts), size) for r in coder.records(texts[at : at + size], b"\x02\x00").to_pylist()]
+        assert [np.frombuffer(r, coder.dtype).tolist() for r in records] == [ids_of(t, 2).tolist() for t in texts]
+
+
 def expect_records(rows):
     """Records in (key, text) order with their start, as a multiset by key."""
     out, at = defaultdict(list), 0
@@ -138,6 +159,17 @@ def test_hilbert_curve_visits_every_cell_once_in_single_steps():
     assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
 
 
+def test_curve_keys_are_those_of_the_sums_of_signs():
+    rng, signs = np.random.default_rng(3), curve_packing.projection(1_000)
+    lengths = np.array([0, 1, 1, 5, 300, 0, 4_000])
+    ids = rng.integers(0, 1_000, lengths.sum()).astype("<u2")
+    ids[-4_000:] = ids[-1]  # far beyond the grid
+    documents = np.split(ids, np.cumsum(lengths)[:-1])
+    spread = np.array([signs[d].sum(0, dtype=np.float64) / np.sqrt(max(len(d), 1)) for d in documents])
+    grid = np.clip((spread + 4) / 8 * 256, 0, 255).astype(np.int64)
+    assert curve_packing.curve_keys(ids, lengths, signs).tolist() == curve_packing.hilbert(grid, 8).tolist()
+
+
 def test_queries_over_the_table(spark, sf):
     rows = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()]
     expected = expect_records(rows)
