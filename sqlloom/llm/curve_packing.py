@@ -34,7 +34,7 @@ ENCODED = pa.schema([("doc_id", pa.int64()), ("curve_key", pa.int64()), ("n", pa
 PIECE = pa.schema([*((c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "curve_key")), ("ids", pa.binary())])
 #: What the registered queries return: the ids by their digest.
 DIGEST = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "curve_key"]
-TEXT_BYTES = 2 << 20  # of texts encoded at a time
+TEXT_BYTES = 1 << 20  # of texts encoded at a time
 PIECE_BYTES = 4 << 20  # of ids in a batch of pieces
 
 

@@ -15,7 +15,7 @@ from sqlloom.llm.common import caches
 
 #: Words in a generation of the cache. A full generation becomes the old one, the old one goes, and words
 #: that are met again move on; so what is frequent stays.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 #: New words sent to the library in one text, parted by a special token or a space.
 WORDS_A_CALL = 500
 
