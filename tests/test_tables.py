@@ -1,5 +1,6 @@
 """Joins, dedupe, ranks and splits: brute force, hot keys, repartitioning."""
 
+import json
 import math
 from collections import Counter
 from dataclasses import replace
@@ -7,6 +8,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from sqlloom.checks import training  # noqa: F401  (registration)
+from sqlloom.checks.registry import QUERIES
 from sqlloom.operators import catalog, dedupe, leaks, profiles, ranking
 from sqlloom.operators.joins import fits_broadcast, hot_keys, lookup, measured_size, salt_of
 from sqlloom.options import JoinOptions, SplitRatios
@@ -187,3 +190,17 @@ def test_bucket_arithmetic_matches_python():
     for n in (0, 1, 19, 999, 150_000, 10**9 + 7):
         for ratio in (0.9, 0.05, 0.95, 0.8, 0.2):
             assert int(n * ratio) == math.floor(float(n) * ratio)
+
+
+def test_every_row_is_in_a_padded_batch(spark, tmp_path):
+    """No token limit of a check drops most rows or cuts the others."""
+    orders = spark.range(1, 61).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'O' AS o_orderstatus")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = QUERIES["k4_padded_batches"](spark, str(tmp_path)).collect()
+    assert sorted(r.example_id for r in rows) == list(range(1, 61))
+    for r in rows:
+        ids, mask, labels = (json.loads(v) for v in (r.input_ids, r.attention_mask, r.labels))
+        assert len(ids) == len(mask) == len(labels) == r.pad_to > 0
+        # The end of the answer is there: one more token than the prompt at least, and not cut.
+        assert 0 < sum(v != -100 for v in labels) < sum(mask)
+    assert max(sum(json.loads(r.attention_mask)) for r in rows) > 95
