@@ -56,6 +56,37 @@ def test_trees_of_several_levels_by_brute_force(spark):
     assert got(df) == expected(rows)
 
 
+def test_blocks_and_upper_levels_by_brute_force(spark):
+    rows = clustered(2, 1500)
+    rows += [(5000 + i, rows[i][1], rows[i][2]) for i in range(0, 200, 3)]  # equal vectors too
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert got(df, leaf=8, block=32) == expected(rows)
+    assert got(df, leaf=64, block=100) == expected(rows)
+
+
+def test_doubles_near_the_threshold(spark):
+    """Cosines that single precision cannot tell from the threshold."""
+    rng, rows = np.random.default_rng(3), []
+    for i in range(300):
+        u, v = np.linalg.qr(rng.normal(size=(24, 2)))[0].T
+        cosine = 0.93 + (1 if i % 2 else -1) * 10.0 ** -rng.integers(6, 12)
+        rows += [(2 * i, [float(c) for c in u], i), (2 * i + 1, [float(c) for c in cosine * u + np.sqrt(1 - cosine**2) * v], i)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in cover_tree.near_duplicates(df).collect()}
+    assert found == {v: v // 2 % 2 for v, _, _ in rows}
+
+
+def test_vectors_are_not_shuffled_for_each_pair_of_leaves(spark):
+    """Vectors without structure: no leaf pair can be dropped."""
+    x = np.random.default_rng(4).normal(size=(1500, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles
+    shuffled = lambda: {f.getPath(): f.length() for f in map(files().apply, range(files().size()))}
+    before = shuffled()
+    assert got(df, leaf=16).total() == 1500
+    assert sum(n for f, n in shuffled().items() if f not in before) < 10 * x.nbytes
+
+
 def test_edge_rows(spark):
     one = [1.0, 0.0, 0.5]
     rows = [
