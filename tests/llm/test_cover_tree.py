@@ -78,13 +78,22 @@ def test_doubles_near_the_threshold(spark):
 
 def test_vectors_are_not_shuffled_for_each_pair_of_leaves(spark):
     """Vectors without structure: no leaf pair can be dropped."""
-    x = np.random.default_rng(4).normal(size=(1500, 64)).astype(np.float32)
+    x = np.random.default_rng(4).normal(size=(800, 64)).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA).repartition(4)
-    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles
-    shuffled = lambda: {f.getPath(): f.length() for f in map(files().apply, range(files().size()))}
+    manager = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {f.getPath(): f.length() for f in map(files.apply, range(files.size())) if "shuffle" in f.getName()}
+
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     before = shuffled()
-    assert got(df, leaf=16).total() == 1500
-    assert sum(n for f, n in shuffled().items() if f not in before) < 10 * x.nbytes
+    try:
+        assert got(df, leaf=16).total() == 800
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert 0 < sum(n for f, n in shuffled().items() if f not in before) < 10 * x.nbytes
 
 
 def test_edge_rows(spark):
